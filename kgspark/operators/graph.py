@@ -86,7 +86,9 @@ def entity_order() -> list[Column]:
 
 
 def rel_order() -> list[Column]:
-    return [F.col("weight").desc(), F.col("source").asc(), F.col("target").asc(),
+    # mean weights are compared at 1e-9 so that summation-order noise in the last
+    # bits never reorders equal weights; ties fall to (source, target, id)
+    return [F.round(F.col("weight"), 9).desc(), F.col("source").asc(), F.col("target").asc(),
             F.col("id").asc()]
 
 
