@@ -7,8 +7,8 @@ from pyspark.sql import types as T
 S = T.StringType()
 L = T.LongType()
 D = T.DoubleType()
-ARR_S = T.ArrayType(S, containsNull=False)
-VEC = T.ArrayType(T.FloatType(), containsNull=False)
+ARR_S = T.ArrayType(S, containsNull=True)
+VEC = T.ArrayType(T.FloatType(), containsNull=True)
 
 
 def _f(name, dtype, nullable=True):
