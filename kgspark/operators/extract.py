@@ -53,7 +53,9 @@ def _merge(mentions: DataFrame, key: list[str], with_weight: bool) -> DataFrame:
                F.min_by("description", F.col("pos")).alias("first_description"),
                F.min("pos").alias("first_pos")]
     if with_weight:
-        per_doc += [F.sum("weight").alias("w_sum")]
+        # weights summed as integer nano-units: exact, so the mean does not depend
+        # on the order in which partitions add up (A4)
+        per_doc += [F.sum(F.round(F.col("weight") * 1e9).cast("bigint")).alias("w_sum")]
     by_doc = mentions.groupBy(*key, "document_id").agg(*per_doc)
     final = [F.sum("n").cast("bigint").alias("n_descriptions"),
              F.min_by("first_description", F.struct("document_id", "first_pos"))
@@ -61,7 +63,8 @@ def _merge(mentions: DataFrame, key: list[str], with_weight: bool) -> DataFrame:
              F.array_sort(F.collect_list("document_id")).alias("document_ids")]
     if with_weight:
         # A4: mean of all weights (duplicates counted), 1.0 when there are none
-        final += [F.coalesce(F.sum("w_sum") / F.sum("n"), F.lit(1.0)).alias("weight")]
+        final += [F.coalesce(F.sum("w_sum").cast("double") / F.sum("n") / F.lit(1e9),
+                             F.lit(1.0)).alias("weight")]
     return by_doc.groupBy(*key).agg(*final)
 
 

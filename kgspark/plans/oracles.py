@@ -53,7 +53,8 @@ ent AS (
 rel AS (
   SELECT source, target, count(*) AS n_descriptions,
          first(description ORDER BY document_id, pos) AS first_description,
-         list_sort(list(DISTINCT document_id)) AS document_ids, avg(weight) AS weight
+         list_sort(list(DISTINCT document_id)) AS document_ids,
+         CAST(sum(CAST(round(weight * 1e9) AS BIGINT)) AS DOUBLE) / count(*) / 1e9 AS weight
   FROM rm GROUP BY source, target),
 eraw AS (
   SELECT {sid('entity', 'title', 'type')} AS id, title, type,
@@ -178,4 +179,161 @@ SELECT d.id AS document_id, CAST(coalesce(len(ei.l), 0) AS BIGINT) AS n_entities
        CAST(coalesce(ri.n, 0) AS BIGINT) AS n_relationships,
        sha256(coalesce(array_to_string(ei.l, ','), '')) AS entity_ids_sha
 FROM docs d LEFT JOIN ei ON d.id = ei.doc LEFT JOIN ri ON d.id = ri.doc"""
+    q.update(_more())
+    q["constraint_violations"] = """
+SELECT 'documents' AS "table", 'vector_len_768' AS rule, 'content_embedding' AS "column",
+       CAST(count(*) AS BIGINT) AS n
+FROM embeddings WHERE embedding IS NOT NULL AND len(embedding) <> 768 HAVING count(*) > 0"""
+    return q
+
+
+GIVEN = GRAPH + f""",
+mem AS (
+  SELECT 0 AS level, type AS cluster, id AS entity_id, CAST(NULL AS VARCHAR) AS parent_cluster
+  FROM ents
+  UNION ALL
+  SELECT 1, type || '/' || substr(title, 1, 1), id, type FROM ents),
+base AS (
+  SELECT level, cluster, list_sort(list(entity_id)) AS entity_ids,
+         max(parent_cluster) AS parent_cluster
+  FROM mem GROUP BY level, cluster),
+cid AS (SELECT *, {sid('community', 'CAST(level AS VARCHAR)', 'entity_ids[1]')} AS id FROM base),
+crel AS (
+  SELECT m1.level, m1.cluster, list_sort(list(r.id)) AS rids
+  FROM rels r JOIN mem m1 ON r.source_entity_id = m1.entity_id
+  JOIN mem m2 ON r.target_entity_id = m2.entity_id AND m1.level = m2.level
+               AND m1.cluster = m2.cluster
+  GROUP BY m1.level, m1.cluster),
+cdoc AS (
+  SELECT level, cluster, list_sort(list(DISTINCT doc)) AS dids
+  FROM (SELECT m.level, m.cluster, unnest(e.document_ids) AS doc
+        FROM mem m JOIN ents e ON m.entity_id = e.id)
+  GROUP BY level, cluster),
+cpar AS (
+  SELECT c.level, c.cluster, p.id AS parent_community_id
+  FROM cid c JOIN cid p ON p.level = c.level - 1 AND p.cluster = c.parent_cluster
+  WHERE c.level > 0),
+cch AS (
+  SELECT p.level, p.cluster, list_sort(list(c.id)) AS kids
+  FROM cid c JOIN cid p ON c.level = p.level + 1 AND c.parent_cluster = p.cluster
+  GROUP BY p.level, p.cluster),
+comm AS (
+  SELECT c.id, CAST(c.level AS BIGINT) AS level, c.cluster, c.entity_ids,
+         coalesce(crel.rids, []) AS rids, coalesce(cdoc.dids, []) AS dids,
+         cpar.parent_community_id, coalesce(cch.kids, []) AS kids
+  FROM cid c
+  LEFT JOIN crel ON c.level = crel.level AND c.cluster = crel.cluster
+  LEFT JOIN cdoc ON c.level = cdoc.level AND c.cluster = cdoc.cluster
+  LEFT JOIN cpar ON c.level = cpar.level AND c.cluster = cpar.cluster
+  LEFT JOIN cch ON c.level = cch.level AND c.cluster = cch.cluster)"""
+
+LEAF_CTX = GIVEN + """,
+leaf AS (SELECT * FROM comm WHERE level = 1),
+el AS (
+  SELECT l.id, e.title, e.degree,
+         '- **' || e.title || '** (type: ' || e.type || ', degree: ' || CAST(e.degree AS VARCHAR)
+         || '): ' || e.description AS line
+  FROM (SELECT id, unnest(entity_ids) AS eid FROM leaf) l JOIN ents e ON l.eid = e.id),
+rl AS (
+  SELECT l.id, r.weight, r.source, r.target,
+         '- ' || r.source || ' -> ' || r.target || ' (weight: ' || CAST(r.weight AS VARCHAR)
+         || '): ' || r.description AS line
+  FROM (SELECT id, unnest(rids) AS rid FROM leaf) l JOIN rels r ON l.rid = r.id),
+es AS (
+  SELECT id, '## Entities' || chr(10) || chr(10)
+         || string_agg(line, chr(10) || chr(10) ORDER BY degree DESC, title) AS sec,
+         count(*) AS n_ent,
+         list(title ORDER BY degree DESC, title) AS titles
+  FROM el GROUP BY id),
+rs AS (
+  SELECT id, '## Relationships' || chr(10) || chr(10)
+         || string_agg(line, chr(10) || chr(10) ORDER BY weight DESC, source, target) AS sec,
+         count(*) AS n_rel
+  FROM rl GROUP BY id),
+ctx AS (
+  SELECT leaf.id, concat_ws(chr(10) || chr(10), es.sec, rs.sec) AS context,
+         coalesce(es.n_ent, 0) AS n_ent, coalesce(rs.n_rel, 0) AS n_rel, es.titles
+  FROM leaf LEFT JOIN es ON leaf.id = es.id LEFT JOIN rs ON leaf.id = rs.id)"""
+
+
+def _more() -> dict[str, str]:
+    nl2 = "chr(10) || chr(10)"
+    q: dict[str, str] = {}
+    q["community_edges"] = f"""WITH {GIVEN}
+SELECT id, level, CAST(len(entity_ids) AS BIGINT) AS n_entities,
+       CAST(len(rids) AS BIGINT) AS n_relationships,
+       sha256(coalesce(array_to_string(rids, ','), '')) AS rel_sha FROM comm"""
+    q["community_documents"] = f"""WITH {GIVEN}
+SELECT id, level, CAST(len(dids) AS BIGINT) AS n_documents,
+       sha256(coalesce(array_to_string(dids, ','), '')) AS doc_sha FROM comm"""
+    q["community_parent"] = f"WITH {GIVEN} SELECT id, level, parent_community_id FROM comm"
+    q["community_children"] = f"""WITH {GIVEN}
+SELECT id, level, CAST(len(kids) AS BIGINT) AS n_children,
+       coalesce(array_to_string(kids, ','), '') AS children FROM comm"""
+    q["community_level_counts"] = f"""WITH {GIVEN}
+SELECT level, CAST(count(*) AS BIGINT) AS n_communities,
+       CAST(sum(len(entity_ids)) AS BIGINT) AS n_memberships FROM comm GROUP BY level"""
+    q["modularity_given_partition"] = f"""WITH {GRAPH},
+we AS (
+  SELECT least(s.human_readable_id, t.human_readable_id) AS u,
+         greatest(s.human_readable_id, t.human_readable_id) AS v, sum(r.weight) AS w
+  FROM rels r JOIN ents s ON r.source = s.title JOIN ents t ON r.target = t.title
+  WHERE r.weight > 0 GROUP BY 1, 2),
+mm AS (SELECT sum(w) AS m FROM we),
+asg AS (SELECT human_readable_id AS node, type AS c FROM ents),
+ins AS (SELECT a.c, sum(w) AS l FROM we JOIN asg a ON we.u = a.node JOIN asg b ON we.v = b.node
+        WHERE a.c = b.c GROUP BY a.c),
+st AS (SELECT node, sum(w) AS k FROM (SELECT u AS node, w FROM we UNION ALL SELECT v, w FROM we)
+       GROUP BY node),
+tot AS (SELECT a.c, sum(k) AS kc FROM st JOIN asg a ON st.node = a.node GROUP BY a.c)
+SELECT round(sum(coalesce(l, 0) / m - power(kc / (2 * m), 2)), 6) AS modularity
+FROM tot LEFT JOIN ins ON tot.c = ins.c, mm"""
+    q["report_context"] = f"""WITH {LEAF_CTX}
+SELECT id, sha256(context) AS ctx_sha, CAST(length(context) AS BIGINT) AS ctx_len FROM ctx"""
+    q["report_body"] = f"""WITH {LEAF_CTX},
+rep AS (
+  SELECT id, 'Community of ' || coalesce(titles[1], 'sub-communities') AS title,
+         CAST(n_ent AS VARCHAR) || ' entities, ' || CAST(n_rel AS VARCHAR)
+           || ' relationships, 0 sub-community reports.' AS summary,
+         least(10.0, CAST(n_ent AS DOUBLE) / 2.0) AS rating,
+         'Based on ' || CAST(n_ent AS VARCHAR) || ' member entities.' AS expl,
+         coalesce(titles[1:3], []) AS f
+  FROM ctx)
+SELECT id, title, round(rating, 6) AS rating,
+       sha256('# ' || title || {nl2} || summary || {nl2} || 'Rating: '
+              || CAST(rating AS VARCHAR) || ' - ' || expl || {nl2} || '## Findings'
+              || coalesce(list_aggregate(list_transform(f, lambda t: {nl2} || '### About ' || t
+                 || chr(10) || t || ' belongs to this community.'), 'string_agg', ''), ''))
+         AS body_sha,
+       '[' || coalesce(list_aggregate(list_transform(f, lambda t: '{{"summary":"About ' || t
+              || '","explanation":"' || t || ' belongs to this community."}}'),
+              'string_agg', ','), '') || ']' AS findings
+FROM rep"""
+    q["cosine_topk"] = """
+WITH x AS (
+  SELECT label, unnest(range(1, len(embedding) + 1)) AS i, unnest(embedding) AS v
+  FROM embeddings),
+cent AS (
+  SELECT label, list(v ORDER BY i) AS c
+  FROM (SELECT label, i, avg(v) AS v FROM x GROUP BY label, i) GROUP BY label),
+s AS (
+  SELECT CAST(c.label AS VARCHAR) AS query_id, CAST(e.vec_id AS VARCHAR) AS item_id,
+         list_cosine_similarity(CAST(e.embedding AS DOUBLE[]), c.c) AS score
+  FROM embeddings e, cent c),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, item_id)
+        AS rk FROM s)
+SELECT query_id, CAST(rk AS BIGINT) AS rank, item_id, round(score, 6) AS score
+FROM r WHERE rk <= 5"""
+    q["upsert_entities"] = f"""WITH {GRAPH}
+SELECT id, title, type, degree, human_readable_id,
+       CAST(len(document_ids) AS BIGINT) AS n_documents FROM ents"""
+    q["node_union"] = f"""WITH {GIVEN}
+SELECT 'Entity' AS label, CAST(count(*) AS BIGINT) AS n, CAST(count(DISTINCT id) AS BIGINT) AS n_ids
+FROM ents
+UNION ALL SELECT 'Document', count(*), count(DISTINCT id) FROM docs
+UNION ALL SELECT 'Community', count(*), count(DISTINCT id) FROM comm"""
+    q["neighbors_one_hop"] = f"""WITH {GRAPH},
+sym AS (SELECT source_entity_id AS v, target_entity_id AS n FROM rels
+        UNION SELECT target_entity_id, source_entity_id FROM rels)
+SELECT v AS entity_id, CAST(count(*) AS BIGINT) AS n_neighbors FROM sym WHERE v <> n GROUP BY v"""
     return q

@@ -162,6 +162,143 @@ def q_doc_inverse_index(spark: SparkSession, sf: str) -> DataFrame:
                       F.sha2(F.array_join("entity_ids", ","), 256).alias("entity_ids_sha"))
 
 
+# ---------------------------------------------------------------- step 4 (given partition)
+
+
+def _given(spark: SparkSession, sf: str) -> DataFrame:
+    from ..operators import communities as C
+    ents, rels = cached_graph(spark, sf)
+    return C.assemble(C.given_membership(ents), ents, rels)
+
+
+def q_community_edges(spark: SparkSession, sf: str) -> DataFrame:
+    c = _given(spark, sf)
+    return c.select("id", "level", F.size("entity_ids").cast("bigint").alias("n_entities"),
+                    F.size("relationship_ids").cast("bigint").alias("n_relationships"),
+                    F.sha2(F.array_join("relationship_ids", ","), 256).alias("rel_sha"))
+
+
+def q_community_documents(spark: SparkSession, sf: str) -> DataFrame:
+    c = _given(spark, sf)
+    return c.select("id", "level", F.size("document_ids").cast("bigint").alias("n_documents"),
+                    F.sha2(F.array_join("document_ids", ","), 256).alias("doc_sha"))
+
+
+def q_community_parent(spark: SparkSession, sf: str) -> DataFrame:
+    c = _given(spark, sf)
+    return c.select("id", "level", "parent_community_id")
+
+
+def q_community_children(spark: SparkSession, sf: str) -> DataFrame:
+    c = _given(spark, sf)
+    return c.select("id", "level", F.size("child_community_ids").cast("bigint")
+                    .alias("n_children"),
+                    F.array_join("child_community_ids", ",").alias("children"))
+
+
+def q_community_level_counts(spark: SparkSession, sf: str) -> DataFrame:
+    c = _given(spark, sf)
+    return c.groupBy("level").agg(F.count(F.lit(1)).cast("bigint").alias("n_communities"),
+                                  F.sum(F.size("entity_ids")).cast("bigint")
+                                  .alias("n_memberships"))
+
+
+def q_modularity_given_partition(spark: SparkSession, sf: str) -> DataFrame:
+    from ..operators import communities as C
+    ents, rels = cached_graph(spark, sf)
+    e = C.weighted_edges(ents, rels)
+    a = ents.select(F.col("human_readable_id").alias("node"), F.col("type").alias("c"))
+    return C.modularity(e, a).select(_r6("modularity").alias("modularity"))
+
+
+def q_report_context(spark: SparkSession, sf: str) -> DataFrame:
+    from ..operators import reports as RP
+    ents, rels = cached_graph(spark, sf)
+    leaves = _given(spark, sf).where("level = 1")
+    ctx = RP.community_context(leaves, ents, rels, None)
+    return ctx.select(F.col("community_id").alias("id"), F.sha2("context", 256).alias("ctx_sha"),
+                      F.length("context").cast("bigint").alias("ctx_len"))
+
+
+def q_report_body(spark: SparkSession, sf: str) -> DataFrame:
+    from ..operators import reports as RP
+    ents, rels = cached_graph(spark, sf)
+    leaves = _given(spark, sf).where("level = 1")
+    rep = RP.generate_reports(leaves, ents, rels)
+    return rep.select("id", "title", _r6("rating").alias("rating"),
+                      F.sha2("full_content", 256).alias("body_sha"), "findings")
+
+
+# ---------------------------------------------------------------- search, sink, views
+
+
+def q_cosine_topk(spark: SparkSession, sf: str) -> DataFrame:
+    from ..operators.search import cosine_topk
+    from ..sources.driver import table
+    emb = table(spark, sf, "embeddings").select("vec_id", "embedding", "label")
+    cent = (emb.select("label", F.posexplode("embedding").alias("i", "x"))
+            .groupBy("label", "i").agg(F.avg("x").alias("x"))
+            .groupBy("label").agg(F.array_sort(F.collect_list(F.struct("i", "x"))).alias("p"))
+            .select(F.col("label").cast("string").alias("id"),
+                    F.transform("p", lambda t: t["x"]).alias("vector")))
+    items = emb.select(F.col("vec_id").cast("string").alias("id"),
+                       F.col("embedding").alias("vector"))
+    return cosine_topk(cent, items, 5).select(
+        "query_id", "rank", "item_id", _r6("score").alias("score"))
+
+
+def q_upsert_entities(spark: SparkSession, sf: str) -> DataFrame:
+    from ..operators import sink as SK
+    ents, _ = cached_graph(spark, sf)
+    rows = SK.sink_entities(ents, 768)
+    once = SK.upsert(None, rows)
+    twice = SK.upsert(once, rows)  # the same batch twice equals once
+    return twice.select("id", "title", "type", "degree", "human_readable_id",
+                        F.size("document_ids").cast("bigint").alias("n_documents"))
+
+
+def q_constraint_violations(spark: SparkSession, sf: str) -> DataFrame:
+    from ..operators import sink as SK
+    from ..sources.driver import table
+    ents, rels = cached_graph(spark, sf)
+    emb = table(spark, sf, "embeddings")
+    docs = emb.select(F.col("vec_id").cast("string").alias("id"),
+                      F.lit(None).cast("string").alias("title"),
+                      F.lit(None).cast("string").alias("raw_content"),
+                      F.col("embedding").alias("content_embedding"))
+    v = (SK.constraint_violations(SK.sink_documents(docs, 768), "documents", 768)
+         .unionByName(SK.constraint_violations(SK.sink_entities(ents, 768), "entities", 768))
+         .unionByName(SK.constraint_violations(SK.sink_relationships(rels, 768),
+                                               "relationships", 768)))
+    return v.groupBy("table", "rule", "column").agg(F.count(F.lit(1)).cast("bigint")
+                                                    .alias("n"))
+
+
+def q_node_union(spark: SparkSession, sf: str) -> DataFrame:
+    from ..operators import sink as SK
+    ex = cached_extraction(spark, sf)
+    ents, _ = cached_graph(spark, sf)
+    nodes = SK.node_table(ents, ex.documents, _given(spark, sf))
+    return nodes.groupBy("label").agg(F.count(F.lit(1)).cast("bigint").alias("n"),
+                                      F.countDistinct("id").cast("bigint").alias("n_ids"))
+
+
+def q_neighbors_one_hop(spark: SparkSession, sf: str) -> DataFrame:
+    from ..operators import sink as SK
+    ents, rels = cached_graph(spark, sf)
+    edges, bad = SK.edge_table(rels, ents)
+    nb = SK.neighbors(edges).groupBy("v").agg(F.count(F.lit(1)).cast("bigint")
+                                               .alias("n_neighbors"))
+    return nb.select(F.col("v").alias("entity_id"), "n_neighbors")
+
+
+def q_communities_detected(spark: SparkSession, sf: str) -> DataFrame:
+    from ..operators import communities as C
+    ents, rels = cached_graph(spark, sf)
+    c = C.detect(ents, rels, max_rounds=8)
+    return c.select("id", "level", F.size("entity_ids").cast("bigint").alias("n_entities"))
+
+
 QUERIES = {
     "doc_dedup": q_doc_dedup,
     "doc_title_min": q_doc_title_min,
@@ -181,4 +318,18 @@ QUERIES = {
     "entity_rank": q_entity_rank,
     "rel_rank": q_rel_rank,
     "doc_inverse_index": q_doc_inverse_index,
+    "community_edges": q_community_edges,
+    "community_documents": q_community_documents,
+    "community_parent": q_community_parent,
+    "community_children": q_community_children,
+    "community_level_counts": q_community_level_counts,
+    "modularity_given_partition": q_modularity_given_partition,
+    "report_context": q_report_context,
+    "report_body": q_report_body,
+    "cosine_topk": q_cosine_topk,
+    "upsert_entities": q_upsert_entities,
+    "constraint_violations": q_constraint_violations,
+    "node_union": q_node_union,
+    "neighbors_one_hop": q_neighbors_one_hop,
+    "communities_detected": q_communities_detected,
 }
