@@ -180,6 +180,9 @@ SELECT d.id AS document_id, CAST(coalesce(len(ei.l), 0) AS BIGINT) AS n_entities
        sha256(coalesce(array_to_string(ei.l, ','), '')) AS entity_ids_sha
 FROM docs d LEFT JOIN ei ON d.id = ei.doc LEFT JOIN ri ON d.id = ri.doc"""
     q.update(_more())
+    q["rel_dangling"] = f"""WITH {GRAPH}
+SELECT r.id, r.source, r.target FROM rraw r
+WHERE r.source NOT IN (SELECT title FROM ecol) OR r.target NOT IN (SELECT title FROM ecol)"""
     q["constraint_violations"] = """
 SELECT 'documents' AS "table", 'vector_len_768' AS rule, 'content_embedding' AS "column",
        CAST(count(*) AS BIGINT) AS n

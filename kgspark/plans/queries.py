@@ -299,6 +299,41 @@ def q_communities_detected(spark: SparkSession, sf: str) -> DataFrame:
     return c.select("id", "level", F.size("entity_ids").cast("bigint").alias("n_entities"))
 
 
+def q_rel_dangling(spark: SparkSession, sf: str) -> DataFrame:
+    ex = cached_extraction(spark, sf)
+    kept = G.collapse_titles(ex.entities_raw)
+    return G.dangling_relationships(ex.relationships_raw, kept).select("id", "source", "target")
+
+
+def q_connected_components(spark: SparkSession, sf: str) -> DataFrame:
+    from ..operators import communities as C
+    ents, rels = cached_graph(spark, sf)
+    e = C.weighted_edges(ents, rels).withColumn("part", F.lit(0))
+    nodes = ents.select(F.lit(0).alias("part"), F.col("human_readable_id").alias("node"))
+    cc = C.connected_components(e, nodes)
+    return (cc.groupBy("comp").agg(F.count(F.lit(1)).alias("size"))
+            .groupBy("size").agg(F.count(F.lit(1)).cast("bigint").alias("n_components")))
+
+
+def q_pipeline_end_to_end(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole six-step job into a fresh folder under the checkpoint directory."""
+    import uuid
+
+    from ..config import CommunityConfig, PipelineConfig, SourceConfig, StorageConfig
+    from ..session import ensure_checkpoint_dir
+    from ..sources.tables import TableStore
+    from .pipeline import run_pipeline
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/kgspark-e2e-{uuid.uuid4().hex}"
+    cfg = PipelineConfig(source=SourceConfig("documents", sf), storage=StorageConfig(base),
+                         community=CommunityConfig(max_rounds=8))
+    run_pipeline(spark, cfg)
+    sink = TableStore(spark, base + "/sink")
+    return sink.read("communities").groupBy("level").agg(
+        F.count(F.lit(1)).cast("bigint").alias("n_communities"),
+        F.sum(F.size("entity_ids")).cast("bigint").alias("n_memberships"),
+        F.count("full_content_embedding").cast("bigint").alias("n_embedded"))
+
+
 QUERIES = {
     "doc_dedup": q_doc_dedup,
     "doc_title_min": q_doc_title_min,
@@ -332,4 +367,7 @@ QUERIES = {
     "node_union": q_node_union,
     "neighbors_one_hop": q_neighbors_one_hop,
     "communities_detected": q_communities_detected,
+    "rel_dangling": q_rel_dangling,
+    "connected_components": q_connected_components,
+    "pipeline_end_to_end": q_pipeline_end_to_end,
 }
