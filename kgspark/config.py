@@ -7,14 +7,15 @@ from dataclasses import dataclass, field, replace
 
 @dataclass(frozen=True)
 class ModelConfig:
-    model: str = "gemini-2.5-flash"
+    # model and embedding model names are passed to the user-supplied backend
+    model: str = "default"
     temperature: float = 0.0
     max_output_tokens: int = 8192
 
 
 @dataclass(frozen=True)
 class EmbeddingConfig:
-    model: str = "text-embedding-005"
+    model: str = "default"
     dimensions: int = 768
     task_type: str = "RETRIEVAL_DOCUMENT"
     batch_size: int = 250
