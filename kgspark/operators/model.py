@@ -195,10 +195,12 @@ def spread(df: DataFrame) -> DataFrame:
     Large inputs already arrive in many scan partitions and are left alone; a small
     table stored as a single row group would otherwise run every call in one task.
     """
-    want = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df
+    try:
+        want = df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. a remote session): leave the plan as is
+        return df
+    return df.repartition(want) if have < want else df
 
 
 class PythonBatchBackend:

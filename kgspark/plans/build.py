@@ -48,6 +48,11 @@ def extract_graph(documents: DataFrame, backend=None, cfg: ModelConfig | None =
                        "extraction_results" if store is not None else None)
     parsed = M.parse_results(res, ["document_id"], EXTRACTION_PAYLOAD)
     em, rm = X.entity_mentions(parsed), X.relationship_mentions(parsed)
+    if store is not None:
+        # mentions feed both the merges and the summary prompts: parse once, reuse
+        store.write(em, "entity_mentions")
+        store.write(rm, "relationship_mentions")
+        em, rm = store.read("entity_mentions"), store.read("relationship_mentions")
     ent, rel = X.merge_entities(em), X.merge_relationships(rm)
     sreq = X.summary_requests(em, ent, rm, rel, cfg)
     if store is not None:
