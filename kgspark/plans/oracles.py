@@ -183,6 +183,23 @@ FROM docs d LEFT JOIN ei ON d.id = ei.doc LEFT JOIN ri ON d.id = ri.doc"""
     q["rel_dangling"] = f"""WITH {GRAPH}
 SELECT r.id, r.source, r.target FROM rraw r
 WHERE r.source NOT IN (SELECT title FROM ecol) OR r.target NOT IN (SELECT title FROM ecol)"""
+    # G9 by min-label propagation in a keyed recursive CTE: a vertex takes a smaller
+    # neighbour label until no label changes
+    q["connected_components"] = f"""WITH RECURSIVE {GRAPH},
+we AS (
+  SELECT least(s.human_readable_id, t.human_readable_id) AS u,
+         greatest(s.human_readable_id, t.human_readable_id) AS v
+  FROM rels r JOIN ents s ON r.source = s.title JOIN ents t ON r.target = t.title
+  WHERE r.weight > 0 GROUP BY 1, 2),
+sym AS (SELECT u AS a, v AS b FROM we WHERE u <> v UNION ALL SELECT v, u FROM we WHERE u <> v),
+cc(node, comp) USING KEY (node) AS (
+  SELECT human_readable_id, human_readable_id FROM ents
+  UNION
+  SELECT s.a, min(c.comp)
+  FROM cc c JOIN sym s ON s.b = c.node JOIN recurring.cc r ON r.node = s.a
+  GROUP BY s.a, r.comp HAVING min(c.comp) < r.comp)
+SELECT size, CAST(count(*) AS BIGINT) AS n_components
+FROM (SELECT comp, CAST(count(*) AS BIGINT) AS size FROM cc GROUP BY comp) GROUP BY size"""
     q["constraint_violations"] = """
 SELECT 'documents' AS "table", 'vector_len_768' AS rule, 'content_embedding' AS "column",
        CAST(count(*) AS BIGINT) AS n
