@@ -143,6 +143,9 @@ SELECT id AS document_id, 'user' AS role, sha256({head} || raw_content || {tail}
     q["result_json_parse"] = f"""WITH {EXTRACT}
 SELECT document_id, 'ok' AS reason, CAST(len(n) AS BIGINT) AS n_entities,
        CAST(greatest(len(n) - 1, 0) AS BIGINT) AS n_relationships FROM nm"""
+    q["result_status_route"] = f"""WITH {EXTRACT}
+SELECT 'ok' AS reason, CAST(count(*) AS BIGINT) AS n, CAST(sum(len(n)) AS BIGINT) AS n_entities
+FROM nm"""
     q["entity_mentions"] = f"""WITH {EXTRACT}
 SELECT document_id, CAST(pos AS BIGINT) AS pos, title, type, description FROM em"""
     q["entity_merge"] = f"""WITH {EXTRACT}

@@ -72,6 +72,14 @@ def q_result_json_parse(spark: SparkSession, sf: str) -> DataFrame:
         F.size("payload.relationships").cast("bigint").alias("n_relationships"))
 
 
+def q_result_status_route(spark: SparkSession, sf: str) -> DataFrame:
+    """Extraction results routed to usable / quarantine, counted by reason."""
+    ex = cached_extraction(spark, sf)
+    return ex.parsed.groupBy(F.coalesce("reason", F.lit("ok")).alias("reason")).agg(
+        F.count(F.lit(1)).cast("bigint").alias("n"),
+        F.sum(F.size("payload.entities")).cast("bigint").alias("n_entities"))
+
+
 def q_entity_mentions(spark: SparkSession, sf: str) -> DataFrame:
     ex = cached_extraction(spark, sf)
     return ex.entity_mentions.select("document_id", F.col("pos").cast("bigint").alias("pos"),
@@ -340,6 +348,7 @@ QUERIES = {
     "prompt_extraction": q_prompt_extraction,
     "request_fields": q_request_fields,
     "result_json_parse": q_result_json_parse,
+    "result_status_route": q_result_status_route,
     "entity_mentions": q_entity_mentions,
     "entity_merge": q_entity_merge,
     "entity_first_desc": q_entity_first_desc,
