@@ -47,3 +47,25 @@ def test_community_context_golden(spark):
                    "## Entities\n\n- **B** (type: Q, degree: 3): db\n\n"
                    "- **A** (type: P, degree: 1): da\n\n"
                    "## Relationships\n\n- A -> B (weight: 0.5): ab")
+
+
+def test_parse_reports_edge_cases(spark):
+    import json
+
+    def env(obj):
+        return json.dumps({"candidates": [{"content": {"parts": [{"text": json.dumps(obj)}]}}]})
+    rows = [("c1", "0", env({"title": "A", "summary": "s", "rating": 8, "rating_explanation": "e",
+                              "findings": []}), None),
+            ("c1", "0", env({"title": "B", "summary": "s", "rating": 8.5,
+                              "rating_explanation": "e", "findings": [
+                                  {"summary": "f", "explanation": "x"}]}), None),
+            ("c2", "0", env({"title": "C", "summary": "t"}), None),
+            ("", "0", env({"title": "D"}), None),
+            ("c3", "0", None, "ERROR")]
+    res = spark.createDataFrame(rows, "community_id string, level string, response string, "
+                                      "status string")
+    got = {r.id: r for r in RP.parse_reports(res).collect()}
+    assert set(got) == {"c1", "c2"}  # blank id and failed row skipped (P11)
+    assert got["c1"].title in ("A", "B")  # duplicates: one deterministic winner (Q5)
+    assert got["c2"].rating is None and got["c2"].findings == "[]"
+    assert got["c2"].full_content == "# C\n\nt\n\nRating: N/A - \n\n## Findings"
