@@ -31,3 +31,16 @@ def test_global_rank_equals_window_rank(spark):
     a = {r.id: r.human_readable_id for r in G.global_rank(df, order, num_partitions=7).collect()}
     b = {r.id: r.human_readable_id for r in G.window_rank(df, order).collect()}
     assert a == b and sorted(a.values()) == list(range(5000))
+
+
+def test_graph_snapshot_tables(spark):
+    import tempfile
+    ents = spark.createDataFrame([("e1", "A"), ("e2", "B")], "id string, title string")
+    rels = spark.createDataFrame([("r1", "A", "B", 0.5)],
+                                 "id string, source string, target string, weight double")
+    out = tempfile.mkdtemp(prefix="kgspark-snap-")
+    G.write_snapshot(ents, rels, out)
+    nodes = {tuple(r) for r in spark.read.parquet(f"{out}/nodes").collect()}
+    edges = [tuple(r) for r in spark.read.parquet(f"{out}/edges").collect()]
+    assert nodes == {("A", "A", "e1"), ("B", "B", "e2")}
+    assert edges == [("A", "B", 0.5, "r1")]
