@@ -45,13 +45,17 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 def merge(piece: bytes, ranks: dict[bytes, int]) -> list[bytes]:
     """Merges by rank, lowest first, leftmost on ties."""
+    none = 1 << 40
     parts = [piece[i:i + 1] for i in range(len(piece))]
-    while len(parts) > 1:
-        best = min(range(len(parts) - 1),
-                   key=lambda i: ranks.get(parts[i] + parts[i + 1], len(ranks) + 1 << 40))
-        if parts[best] + parts[best + 1] not in ranks:
-            break
-        parts[best:best + 2] = [parts[best] + parts[best + 1]]
+    costs = [ranks.get(x + y, none) for x, y in zip(parts, parts[1:])]
+    while costs and (best := min(costs)) != none:
+        i = costs.index(best)
+        parts[i:i + 2] = [parts[i] + parts[i + 1]]
+        del costs[i]
+        if i < len(costs):
+            costs[i] = ranks.get(parts[i] + parts[i + 1], none)
+        if i:
+            costs[i - 1] = ranks.get(parts[i - 1] + parts[i], none)
     return parts
 
 
@@ -63,7 +67,7 @@ class Transducer:
     pending tokens of the reading that ends there.
     """
 
-    MOST_STATES = 200_000
+    MOST_STATES = 100_000
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
@@ -125,13 +129,15 @@ class Transducer:
         return self._number((suffix, context, chains)), tuple(self.ranks[t] for t in out)
 
     def run(self, piece: bytes) -> list[int]:
-        if len(self.states) > self.MOST_STATES:
-            self._clear()
-        moves, state, out = self.moves, self.start, []
+        state, out = self.start, []
         for byte in piece:
-            got = moves.get(state << 8 | byte)
+            got = self.moves.get(state << 8 | byte)
             if got is None:
-                got = moves[state << 8 | byte] = self._move(state, byte)
+                if len(self.states) >= self.MOST_STATES:
+                    here = self.states[state]
+                    self._clear()
+                    state = self._number(here)
+                got = self.moves[state << 8 | byte] = self._move(state, byte)
             state = got[0]
             if got[1]:
                 out += got[1]
