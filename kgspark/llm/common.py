@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,7 +52,7 @@ def slices(batches: Iterable[pa.RecordBatch], column: str,
            most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut batches so that each slice holds about ``most`` bytes of ``column``, one row at least."""
     for batch in batches:
-        lengths = pa.compute.binary_length(batch.column(column)).to_pylist()
+        lengths = pc.binary_length(batch.column(column)).to_pylist()
         start = size = 0
         for i, n in enumerate(lengths):
             size += n or 0

@@ -32,4 +32,29 @@ SELECT page_id, payload_bytes,
 FROM d
 """
 
-ORACLES = {"op1_chat_format": OP1, "op10_warc": OP10}
+OP7 = r"""
+WITH dw AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+iw AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, least(13, len(w)) AS size,
+         array_to_string(w[i:i + least(13, len(w)) - 1], ' ') AS win
+  FROM iw, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS t(i) WHERE len(w) > 0),
+occ AS (
+  SELECT doc_id, i, s.size, array_to_string(w[i:i + s.size - 1], ' ') AS win
+  FROM dw, (SELECT DISTINCT size FROM windows) s, unnest(range(1, len(w) - s.size + 2)) AS t(i)),
+hits AS (SELECT o.doc_id, o.i, o.size, x.item_id FROM occ o JOIN windows x ON o.size = x.size AND o.win = x.win),
+pos AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (
+          SELECT doc_id, unnest(range(i, i + size)) AS p FROM (SELECT DISTINCT doc_id, i, size FROM hits)) GROUP BY doc_id),
+its AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (
+          SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hits) GROUP BY doc_id)
+SELECT dw.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+  coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM dw LEFT JOIN pos USING (doc_id) LEFT JOIN its USING (doc_id)
+"""
+
+ORACLES = {"op1_chat_format": OP1, "op7_decontaminate": OP7, "op10_warc": OP10}

@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, warc
-from .common import table
+from . import bpe, chat, decontaminate, token_files, warc
+from .common import shared_path, table
 
 
 def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +19,23 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.render(chat.reconstruct(events)))
 
 
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        model = spark.sparkContext.broadcast(f.read())  # a vocabulary file
+
+    def make():
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_str(model.value)
+        return token_files.whitespace_cached(
+            lambda words: [e.ids for e in tokenizer.encode_batch(words, add_special_tokens=False)])
+
+    path = token_files.write(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                             shared_path(spark, "token-files"), make, end_id=2, n_ids=49408)
+    return token_files.read(spark, path).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -27,8 +44,13 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_report(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_chat_format, op6_byte_bpe, op10_warc)}
+QUERIES = {f.__name__: f for f in (
+    op1_chat_format, op3_token_files, op6_byte_bpe, op7_decontaminate, op10_warc)}
