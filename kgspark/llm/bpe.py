@@ -3,13 +3,13 @@
 Encoding. A token sequence is the BPE encoding of its bytes exactly if each pair of neighbours
 is: the merges, run on the two tokens' bytes alone, give these two tokens back. So the last token
 of every prefix is fixed, and an encoding can be read off from left to right. The transducer's
-state after some bytes is what the future can depend on: the longest suffix that some token
-starts with (a node of the vocabulary's prefix automaton) and, for each position inside that
-suffix, the tokens pending since the point where all these readings agree. Reading a byte moves
-the node, finds the one last token that is compatible with what stands before it, drops readings
-that no token can continue, and emits the tokens that all remaining readings share. A suffix is no
-longer than the longest token, so the lookahead is bounded. States and transitions are made when
-first met and kept in a table of bounded size (dropped and rebuilt when full; results are the same).
+state after some bytes is what the future can depend on: the positions from which some token may
+still be read (each a node of the vocabulary's trie) and the last token before each of them.
+Reading a byte moves the nodes, finds the one last token that is compatible with what stands before
+it, and drops positions that no token can continue. Tokens that the readings of all live positions
+share are emitted; a live position lies no further back than the longest token, so the lookahead is
+bounded. States and transitions are made when first met and kept in a table of bounded size
+(dropped and rebuilt when full; results are the same).
 
 As in the reference semantics of rank files, a piece that is itself a token is that token, and
 pieces are the matches of a split pattern, encoded separately.
@@ -62,86 +62,112 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[bytes]:
 class Transducer:
     """Bytes in, token ids out; see the module's text.
 
-    A state is ``(suffix, context, chains)``: the live suffix, the last emitted token if a reading
-    ends right after it, and for each position of the suffix, from its start to its end, the
-    pending tokens of the reading that ends there.
+    A state is a flat tuple of (node, last) for each live position, oldest first: the node of the
+    vocabulary's trie that the bytes since that position lead to, and the last token of the prefix
+    that ends there (-1 before the first). Reading a byte yields the last token of the longer
+    prefix; chains of last tokens lead back, and what all live positions share can leave.
     """
 
-    MOST_STATES = 100_000
+    MOST_MOVES = 400_000
+    #: Pending bytes of a piece at which agreed tokens are emitted; the live part is no longer
+    #: than the longest token.
+    LOOKAHEAD = 1 << 12
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
-        self.starts = {t[:i] for t in ranks for i in range(1, len(t))}
-        self.made: dict[bytes, bool] = {}
-        self.fits: dict[tuple[bytes, bytes], bool] = {}
+        self.bytes = {i: t for t, i in ranks.items()}
+        self.size = {i: len(t) for t, i in ranks.items()}
+        self.trie: dict[int, int] = {}
+        self.token, self.depth, self.inner = [-1], [0], [False]
+        for t, i in ranks.items():
+            node = 0
+            for b in t:
+                self.inner[node] = True
+                key = node << 8 | b
+                node = self.trie.get(key, 0)
+                if not node:
+                    node = self.trie[key] = len(self.token)
+                    self.token.append(-1)
+                    self.depth.append(self.depth[key >> 8] + 1)
+                    self.inner.append(False)
+            self.token[node] = i
+        self.fits: dict[int, bool] = {}
         self._clear()
 
     def _clear(self) -> None:
-        self.states: list[tuple] = []
-        self.numbers: dict[tuple, int] = {}
-        self.moves: dict[int, tuple[int, tuple[int, ...]]] = {}
-        self.start = self._number((b"", None, ((),)))
+        self.states: list[tuple[int, ...]] = []
+        self.numbers: dict[tuple[int, ...], int] = {}
+        self.moves: dict[int, tuple[int, int]] = {}
+        self.start = self._number((0, -1))
 
-    def _number(self, state: tuple) -> int:
+    def _number(self, state: tuple[int, ...]) -> int:
         n = self.numbers.get(state)
         if n is None:
             n = self.numbers[state] = len(self.states)
             self.states.append(state)
         return n
 
-    def _made(self, t: bytes) -> bool:
-        """Whether merges make ``t`` from its bytes (other entries only match whole pieces)."""
-        if t not in self.made:
-            self.made[t] = merge(t, self.ranks) == [t]
-        return self.made[t]
-
-    def _fit(self, a: bytes | None, b: bytes) -> bool:
-        if a is None:
-            return True
-        if (a, b) not in self.fits:
-            if len(self.fits) >= self.MOST_STATES:
+    def _fit(self, a: int, b: int) -> bool:
+        """Whether b can follow a; a = -1 asks whether merges make b at all (some entries of a
+        vocabulary only match whole pieces)."""
+        key = a << 32 | b
+        got = self.fits.get(key)
+        if got is None:
+            if len(self.fits) >= self.MOST_MOVES:
                 self.fits.clear()
-            self.fits[a, b] = merge(a + b, self.ranks) == [a, b]
-        return self.fits[a, b]
-
-    def _move(self, number: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        suffix, context, chains = self.states[number]
-        suffix += bytes((byte,))
-        for i, chain in enumerate(chains):  # exactly one candidate is compatible
-            t = suffix[i:]
-            if t in self.ranks and self._made(t) and self._fit(chain[-1] if chain else context, t):
-                chains = (*chains, (*chain, t))
-                break
-        else:
-            raise ValueError(f"no token ends with {suffix!r}; the vocabulary lacks single bytes")
-        k = 0
-        while k < len(suffix) and suffix[k:] not in self.starts:
-            k += 1
-        suffix, chains = suffix[k:], chains[k:]
-        shared = 0
-        for tokens in zip(*chains):
-            if any(t != tokens[0] for t in tokens):
-                break
-            shared += 1
-        out = chains[0][:shared]
-        chains = tuple(c[shared:] for c in chains)
-        context = (out[-1] if out else context) if not all(chains) else None
-        return self._number((suffix, context, chains)), tuple(self.ranks[t] for t in out)
+            x, y = self.bytes.get(a, b""), self.bytes[b]
+            got = self.fits[key] = merge(x + y, self.ranks) == ([x, y] if x else [y])
+        return got
+
+    def _move(self, number: int, byte: int) -> tuple[int, int]:
+        state, trie, found, live = self.states[number], self.trie, -1, []
+        for j in range(0, len(state), 2):  # the longest candidate first; exactly one fits
+            node = trie.get(state[j] << 8 | byte)
+            if node is None:
+                continue
+            last, t = state[j + 1], self.token[node]
+            if found < 0 <= t and self._fit(-1, t) and (last < 0 or self._fit(last, t)):
+                found = t
+            if self.inner[node]:
+                live += (node, last)
+        if found < 0:
+            raise ValueError(f"no token ends with byte {byte}; the vocabulary lacks single bytes")
+        return self._number((*live, 0, found)), found
+
+    def _back(self, lasts: list[int], end: int) -> list[int]:
+        out = []
+        while end > 0:
+            t = lasts[end - 1]
+            out.append(t)
+            end -= self.size[t]
+        return out[::-1]
+
+    def _agreed(self, state: int, n: int, lasts: list[int]) -> int:
+        """The furthest position through which the readings of all live positions pass."""
+        live = {n - self.depth[node] for node in self.states[state][::2]}
+        while len(live) > 1:
+            p = max(live)
+            live.remove(p)
+            live.add(p - self.size[lasts[p - 1]])
+        return live.pop()
 
     def run(self, piece: bytes) -> list[int]:
-        state, out = self.start, []
+        state, out, lasts = self.start, [], []
         for byte in piece:
             got = self.moves.get(state << 8 | byte)
             if got is None:
-                if len(self.states) >= self.MOST_STATES:
+                if len(self.moves) >= self.MOST_MOVES:
                     here = self.states[state]
                     self._clear()
                     state = self._number(here)
                 got = self.moves[state << 8 | byte] = self._move(state, byte)
-            state = got[0]
-            if got[1]:
-                out += got[1]
-        return out + [self.ranks[t] for t in self.states[state][2][-1]]
+            state, last = got
+            lasts.append(last)
+            if len(lasts) >= self.LOOKAHEAD:
+                done = self._agreed(state, len(lasts), lasts)
+                out += self._back(lasts, done)
+                del lasts[:done]
+        return out + self._back(lasts, len(lasts))
 
     def encode(self, piece: bytes) -> list[int]:
         """Ids of one piece: itself if it is a token, else the transducer's output."""
@@ -152,7 +178,7 @@ class Transducer:
 class PieceIds(dict):
     """Piece -> its ids as little-endian unsigned 32-bit integers; bounded, refilled as needed."""
 
-    MOST = 300_000
+    MOST = 400_000
 
     def __init__(self, machine: Transducer):
         super().__init__()

@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, token_files, warc
-from .common import shared_path, table
+from . import bpe, chat, decontaminate, langid, token_files, warc
+from .common import crc_fold, shared_path, table
 
 
 def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,16 +20,7 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
-        model = spark.sparkContext.broadcast(f.read())  # a vocabulary file
-
-    def make():
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_str(model.value)
-        return token_files.whitespace_cached(
-            lambda words: [e.ids for e in tokenizer.encode_batch(words, add_special_tokens=False)])
-
+    make = token_files.library_encoder(spark, public_tokenizers.path("word_bpe_49k.json"))
     path = token_files.write(table(spark, sf_dir, "documents").select("doc_id", "text"),
                              shared_path(spark, "token-files"), make, end_id=2, n_ids=49408)
     return token_files.read(spark, path).select(
@@ -48,9 +39,18 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held = crc_fold("doc_id", 4) == 2
+    model = langid.train(docs.where(~held))
+    found = langid.label(docs.select("doc_id", "text", held.alias("held_out")), model, ["doc_id", "held_out"])
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_report(table(spark, sf_dir, "pages"))
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_chat_format, op3_token_files, op6_byte_bpe, op7_decontaminate, op10_warc)}
+    op1_chat_format, op3_token_files, op6_byte_bpe, op7_decontaminate, op8_language,
+    op10_warc)}

@@ -256,6 +256,29 @@ def read(spark: SparkSession, path: str) -> DataFrame:
             .mapInArrow(work, "doc_id bigint, start bigint, n_tokens bigint, ids binary"))
 
 
+#: Encoders of this Python worker, by tokenizer file.
+_ENCODERS: dict[int, Callable] = {}
+
+
+def library_encoder(spark: SparkSession, path: str) -> Callable:
+    """``make`` for a tokenizer file of the tokenizers library, without special tokens added."""
+    with open(path, encoding="utf-8") as f:
+        model = spark.sparkContext.broadcast(f.read())  # a vocabulary file: bounded by its size
+
+    key = zlib.crc32(model.value.encode())
+
+    def make() -> Callable:
+        if key not in _ENCODERS:
+            from tokenizers import Tokenizer
+
+            tokenizer = Tokenizer.from_str(model.value)
+            _ENCODERS[key] = whitespace_cached(
+                lambda words: [e.ids for e in tokenizer.encode_batch(words, add_special_tokens=False)])
+        return _ENCODERS[key]
+
+    return make
+
+
 def whitespace_cached(encode_many: Callable[[list[str]], list[list[int]]], most: int = 300_000) -> Callable:
     """A text encoder for tokenizers that never join characters across ASCII white space: each
     distinct word goes through the library once (per table of bounded size), a text's ids are

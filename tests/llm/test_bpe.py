@@ -37,7 +37,7 @@ def test_empty_table(spark, ranks):
 
 def test_random_bytes_and_a_full_state_table(ranks, brute):
     machine, rng, tokens = bpe.Transducer(ranks), random.Random(5), list(ranks)
-    machine.MOST_STATES = 50
+    machine.MOST_MOVES, machine.LOOKAHEAD = 50, 20
     for i in range(400):
         piece = b"".join(rng.choice(tokens) for _ in range(rng.randint(1, 5)))
         if i % 2:

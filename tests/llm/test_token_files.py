@@ -19,9 +19,8 @@ def tokenizer():
     return Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
 
 
-def _make():
-    t = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    return tf.whitespace_cached(lambda ws: [e.ids for e in t.encode_batch(ws, add_special_tokens=False)])
+def _make(spark):
+    return tf.library_encoder(spark, public_tokenizers.path("word_bpe_49k.json"))
 
 
 def _want(tokenizer, rows):
@@ -29,7 +28,7 @@ def _want(tokenizer, rows):
 
 
 def test_awkward_rows(spark, tokenizer):
-    path = tf.write(docs(spark).select("doc_id", "text"), shared_path(spark, "t"), _make, 2, 49408)
+    path = tf.write(docs(spark).select("doc_id", "text"), shared_path(spark, "t"), _make(spark), 2, 49408)
     rows = tf.read(spark, path).orderBy("start").collect()
     want = _want(tokenizer, TEXTS)
     ids = [r["doc_id"] for r in rows]
@@ -42,7 +41,7 @@ def test_awkward_rows(spark, tokenizer):
 
 
 def test_empty_table(spark):
-    path = tf.write(docs(spark, []).select("doc_id", "text"), shared_path(spark, "t"), _make, 2, 49408)
+    path = tf.write(docs(spark, []).select("doc_id", "text"), shared_path(spark, "t"), _make(spark), 2, 49408)
     assert tf.read(spark, path).collect() == []
 
 
