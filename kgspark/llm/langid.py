@@ -19,8 +19,9 @@ of any length are labelled whole; extra columns are ignored.
 
 from __future__ import annotations
 
-import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +40,9 @@ UNDETERMINED = "und"
 #: a script, 1: Latin, 2: Greek, 3: Cyrillic, 4: Armenian, 5: Hebrew, 6: Arabic, 7: Indic,
 #: 8: Thai and Lao, 9: Tibetan and Burmese, 10: Georgian, 11: Hangul, 12: Ethiopic, 13: Khmer,
 #: 14: Mongolian, 15: kana, 16: Han, 17: other).
-RANGES = [(0x0000, 0), (0x0041, 1), (0x005B, 0), (0x0061, 1), (0x007B, 0), (0x00C0, 1),
+RANGES = [(0x0000, 0), (0x0041, 1), (0x005B, 0), (0x0061, 1), (0x007B, 0), (0x00AA, 1), (0x00AB, 0),
+          (0x00B5, 1), (0x00B6, 0), (0x00BA, 1), (0x00BB, 0), (0x00C0, 1), (0x00D7, 0), (0x00D8, 1),
+          (0x00F7, 0), (0x00F8, 1), (0x0300, 0),
           (0x0370, 2), (0x0400, 3), (0x0530, 4), (0x0590, 5), (0x0600, 6), (0x0900, 7),
           (0x0E00, 8), (0x0F00, 9), (0x10A0, 10), (0x1100, 11), (0x1200, 12), (0x13A0, 17),
           (0x1780, 13), (0x1800, 14), (0x18B0, 17), (0x1E00, 1), (0x1F00, 2), (0x2000, 0),
@@ -50,25 +53,37 @@ RANGES = [(0x0000, 0), (0x0041, 1), (0x005B, 0), (0x0061, 1), (0x007B, 0), (0x00
 _STARTS = np.array([a for a, _ in RANGES])
 _SCRIPTS = np.array([s for _, s in RANGES], np.int8)
 SCRIPTS = 18
-WORD = re.compile(r"[^\W\d_]+")
+#: Most words whose scores a Python worker remembers, and that training holds before counting them.
+MOST_WORDS = 300_000
+#: Words labelled side by side.
+GROUP_WORDS = 2_500_000
 #: Multipliers of the n-gram hash, one per position (odd 64-bit constants of a generator).
 _MULTIPLY = np.random.default_rng(11).integers(1, 1 << 62, MAX_GRAM, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 class Words:
-    """Distinct words of a batch as code points, for work on all of them at once."""
+    """Distinct lower-case words as code points, for work on all of them at once. Only letters
+    count; a word's script is that of most of its letters (0: none)."""
 
     def __init__(self, words: list[str]):
-        self.words = words
-        joined = "\x02" + "\x03\x02".join(w.lower() for w in words) + "\x03"
-        self.points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
-        self.word = np.cumsum(self.points == 2) - 1
-        script = _SCRIPTS[np.searchsorted(_STARTS, self.points, side="right") - 1]
-        seen = np.zeros((len(words), SCRIPTS), np.int64)
-        np.add.at(seen, (self.word, script), 1)
+        self.n = len(words)
+        joined = "\x02" + "\x03\x02".join(words) + "\x03"
+        points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        script = _SCRIPTS[np.searchsorted(_STARTS, points, side="right") - 1]
+        word = np.cumsum(points == 2) - 1
+        if int(word[-1]) != self.n - 1:  # a word holds control characters: borders by length
+            size = np.array([len(w) + 2 for w in words])
+            word = np.repeat(np.arange(self.n), size)
+            script[points < 4] = 0
+        seen = np.bincount(word * SCRIPTS + script, minlength=self.n * SCRIPTS).reshape(self.n, SCRIPTS)
         seen[:, 0] = 0
         self.letters = seen.sum(axis=1)
-        self.script = seen.argmax(axis=1)  # 0: no letters
+        self.script = seen.argmax(axis=1)
+        border = np.zeros(len(points), bool)
+        border[np.flatnonzero(np.r_[True, word[1:] != word[:-1]])] = True
+        border[np.flatnonzero(np.r_[word[1:] != word[:-1], True])] = True
+        keep = (script > 0) | border
+        self.points, self.word = np.where(border, 1, points)[keep], word[keep]
 
     def grams(self) -> tuple[np.ndarray, np.ndarray]:
         """(word, bucket) of every n-gram; none crosses a word's border."""
@@ -81,24 +96,15 @@ class Words:
             key = key[:m] * np.uint64(0x9E3779B97F4A7C15) + (self.points[n - 1:].astype(np.uint64) + np.uint64(n)) * _MULTIPLY[n - 1]
             inside = self.word[:m] == self.word[n - 1:]
             if n == 1:
-                inside &= self.points > 3
+                inside &= self.points > 1
             words.append(self.word[:m][inside])
             buckets.append((key[inside] >> np.uint64(64 - 17)).astype(np.int64))
         return np.concatenate(words), np.concatenate(buckets)
 
 
-def _split(batch: pa.RecordBatch) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Distinct words, the words of all texts as indexes into them, and words per text."""
-    index: dict[str, int] = {}
-    found = [WORD.findall(t or "") for t in batch.column("text").to_pylist()]
-    for ws in found:
-        for w in ws:
-            if w not in index:
-                index[w] = len(index)
-    get = index.__getitem__
-    counts = np.array([len(ws) for ws in found], np.int64)
-    at = np.fromiter((i for ws in found for i in map(get, ws)), np.int64, int(counts.sum()))
-    return list(index), at, counts
+def _split(batch: pa.RecordBatch) -> list[list[str]]:
+    """Lower-case words between white space, per text."""
+    return [(t or "").lower().split() for t in batch.column("text").to_pylist()]
 
 
 class Model:
@@ -114,9 +120,9 @@ class Model:
     def scores(self, words: Words) -> np.ndarray:
         """Mean log score per word and language; -inf outside the word's candidates."""
         at, buckets = words.grams()
-        n = np.maximum(np.bincount(at, minlength=len(words.words)), 1)
-        out = np.stack([np.bincount(at, self.table[buckets, k], len(words.words)) / n
-                        for k in range(len(self.langs))], axis=1)
+        n = np.maximum(np.bincount(at, minlength=words.n), 1)
+        out = np.stack([np.bincount(at, self.table[buckets, k], words.n) / n
+                        for k in range(len(self.langs))], axis=1).astype(np.float32)
         out[~self.candidates[words.script]] = -np.inf
         out[words.script == 0] = 0.0  # words without letters say nothing
         return out
@@ -129,20 +135,27 @@ def train(docs: DataFrame) -> Model:
     rows = docs.where("lang is not null").select("text", "lang")
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, np.ndarray] = {}
+        tables: dict[str, np.ndarray] = {}
+        held: dict[str, Counter] = {}
+
+        def add(lang: str) -> None:
+            words = Words(list(held[lang]))
+            times = np.fromiter(held[lang].values(), np.int64)
+            at, bucket = words.grams()
+            table = tables.setdefault(lang, np.zeros(BUCKETS + SCRIPTS, np.int64))
+            table[:BUCKETS] += np.bincount(bucket, times[at], BUCKETS).astype(np.int64)
+            table[BUCKETS:] += np.bincount(words.script, times * words.letters, SCRIPTS).astype(np.int64)
+            held[lang].clear()
+
         for batch in slices(batches, "text"):
-            langs = np.array(batch.column("lang").to_pylist(), object)
-            for lang in set(langs.tolist()):
-                words, at, _ = _split(batch.filter(pa.array(langs == lang)))
-                if not words:
-                    continue
-                w = Words(words)
-                times = np.bincount(at, minlength=len(words))
-                gram_word, bucket = w.grams()
-                table = held.setdefault(lang, np.zeros(BUCKETS + SCRIPTS, np.int64))
-                table[:BUCKETS] += np.bincount(bucket, times[gram_word], BUCKETS).astype(np.int64)
-                table[BUCKETS:] += np.bincount(w.script, times * w.letters, SCRIPTS).astype(np.int64)
-        for lang, table in held.items():
+            for lang, words in zip(batch.column("lang").to_pylist(), _split(batch)):
+                held.setdefault(lang, Counter()).update(words)
+            if sum(map(len, held.values())) > MOST_WORDS:
+                for lang in [k for k in held if held[k]]:
+                    add(lang)
+        for lang in [k for k in held if held[k]]:
+            add(lang)
+        for lang, table in tables.items():
             some = np.flatnonzero(table)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([lang] * len(some)), pa.array(some, pa.int32()), pa.array(table[some])],
@@ -169,7 +182,7 @@ def viterbi(scores: np.ndarray, counts: np.ndarray, switch: float = SWITCH) -> n
     starts = (np.cumsum(counts) - counts)[order]
     sizes = counts[order]
     back = np.zeros((len(scores), n_lang), np.int8 if n_lang < 128 else np.int16)
-    best = np.zeros((len(order), n_lang))
+    best = np.zeros((len(order), n_lang), np.float32)
     own = np.arange(n_lang)
     steps = int(sizes[0]) if len(sizes) else 0
     active = len(order) - np.searchsorted(sizes[::-1], np.arange(steps), side="right")
@@ -193,60 +206,100 @@ def viterbi(scores: np.ndarray, counts: np.ndarray, switch: float = SWITCH) -> n
     return labels
 
 
+class Scores:
+    """Scores and letters of words; each distinct word is scored once, in a table of bounded size."""
+
+    def __init__(self, model: Model):
+        self.model = model
+        self._clear()
+
+    def _clear(self) -> None:
+        self.index: dict[str, int] = {}
+        self.scores = np.zeros((0, len(self.model.langs)), np.float32)
+        self.letters = np.zeros(0, np.int64)
+
+    def of(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """Rows for all words of all texts, one after the other."""
+        new = [w for w in dict.fromkeys(chain.from_iterable(texts)) if w not in self.index]
+        if self.index and len(self.index) + len(new) > MOST_WORDS:
+            self._clear()
+            new = list(dict.fromkeys(chain.from_iterable(texts)))
+        if new:
+            self.index.update(zip(new, range(len(self.index), len(self.index) + len(new))))
+            words = Words(new)
+            self.scores = np.concatenate([self.scores, self.model.scores(words)])
+            self.letters = np.concatenate([self.letters, words.letters])
+        at = np.fromiter(map(self.index.__getitem__, chain.from_iterable(texts)), np.int64)
+        return self.scores[at], self.letters[at]
+
+
+def _labelled(group: list[tuple], model: Model, spans: bool) -> pa.RecordBatch:
+    """Labels of a group of batches, as one batch in the same order."""
+    rest, counts, by_word, letters, few = zip(*group)
+    counts, by_word, letters, few = map(np.concatenate, (counts, by_word, letters, few))
+    n_docs, n_lang = len(counts), len(model.langs)
+    pred, score, runs = [UNDETERMINED] * n_docs, np.zeros(n_docs), [[] for _ in range(n_docs)]
+    if n_lang:
+        labels = viterbi(by_word, counts)
+        doc = np.repeat(np.arange(n_docs), counts)
+        share = np.bincount(doc * n_lang + labels, letters, n_docs * n_lang).reshape(n_docs, n_lang)
+        total, top = share.sum(axis=1), share.argmax(axis=1)
+        # posterior of the document's language over the words of its own spans; words of one
+        # text are far from independent, hence the root
+        mine = labels == top[doc]
+        finite = np.maximum(by_word[mine], -50.0)
+        n = np.sqrt(np.maximum(np.bincount(doc[mine], minlength=n_docs), 1))
+        mean = np.stack([np.bincount(doc[mine], finite[:, k], n_docs) / n for k in range(n_lang)], axis=1)
+        posterior = np.exp(mean - mean.max(axis=1, keepdims=True))
+        posterior /= posterior.sum(axis=1, keepdims=True)
+        every = np.arange(n_docs)
+        score = np.where(few, 0.0, share[every, top] / np.maximum(total, 1) * posterior[every, top])
+        score = np.where((total == 0) & ~few, 1 / n_lang, score)  # letters of no known range
+        pred = [UNDETERMINED if f else model.langs[k] for k, f in zip(top.tolist(), few.tolist())]
+        if spans:
+            edge = np.flatnonzero(np.r_[True, (labels[1:] != labels[:-1]) | (doc[1:] != doc[:-1])][:len(doc)])
+            first = (np.cumsum(counts) - counts)[doc[edge]]
+            sizes = np.diff(np.append(edge, len(doc)))
+            for d, k, a, n in zip(doc[edge].tolist(), labels[edge].tolist(), (edge - first).tolist(), sizes.tolist()):
+                if not few[d]:
+                    runs[d].append({"lang": model.langs[k], "first": a, "words": n})
+    rest = pa.Table.from_batches(rest).combine_chunks()
+    columns = {k: rest.column(k).combine_chunks() for k in rest.column_names}
+    columns |= {"lang_pred": pa.array(pred, pa.string()), "score": pa.array(score, pa.float64())}
+    if spans:
+        columns["spans"] = pa.array(runs, SPANS)
+    return pa.RecordBatch.from_pydict(columns)
+
+
+SPANS = pa.list_(pa.struct([("lang", pa.string()), ("first", pa.int64()), ("words", pa.int64())]))
+
+
 def label(docs: DataFrame, model: Model, keys: list[str] = ["doc_id"],  # noqa: B006
           spans: bool = False) -> DataFrame:
     """``keys``, ``lang_pred``, ``score`` of every row; with ``spans`` also the labelled spans,
-    as (lang, first word, words) where words are maximal runs of letters."""
+    as (lang, first word, words) where words stand between white space."""
     small_batches(docs.sparkSession)
     rows = docs.select(*keys, F.col("text").cast("string").alias("text"))
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema if f.name != "text")
     shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS x languages
-    span_type = pa.list_(pa.struct([("lang", pa.string()), ("first", pa.int64()), ("words", pa.int64())]))
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        n_lang = len(model.langs)
+        model, known = shared.value, Scores(shared.value)
+        group, size = [], 0
         for batch in slices(batches, "text"):
-            words, at, counts = _split(batch)
-            pred = [UNDETERMINED] * batch.num_rows
-            score = np.zeros(batch.num_rows)
-            runs: list[list] = [[] for _ in pred]
-            if words and n_lang:
-                w = Words(words)
-                by_word = model.scores(w)
-                labels = viterbi(by_word[at], counts)
-                doc = np.repeat(np.arange(len(counts)), counts)
-                letters = w.letters[at]
-                share = np.zeros((len(counts), n_lang))
-                np.add.at(share, (doc, labels), letters)
-                total = share.sum(axis=1)
-                top = share.argmax(axis=1)
-                # posterior of the document's language in its own spans, per word on average
-                mine = labels == top[doc]
-                mean = np.zeros((len(counts), n_lang))
-                finite = np.where(np.isfinite(by_word), by_word, -50.0)
-                for k in range(n_lang):
-                    mean[:, k] = np.bincount(doc[mine], finite[at[mine], k], len(counts))
-                n = np.sqrt(np.maximum(np.bincount(doc[mine], minlength=len(counts)), 1))[:, None]
-                mean = mean / n
-                mean -= mean.max(axis=1, keepdims=True)
-                posterior = np.exp(mean)
-                posterior /= posterior.sum(axis=1, keepdims=True)
-                every = np.arange(len(counts))
-                score = np.where(total > 0, share[every, top] / np.maximum(total, 1) * posterior[every, top], 0.0)
-                pred = [model.langs[k] if n > 0 else UNDETERMINED for k, n in zip(top.tolist(), total.tolist())]
-                if spans:
-                    edge = np.flatnonzero(np.r_[True, (labels[1:] != labels[:-1]) | (doc[1:] != doc[:-1])])
-                    first = (np.cumsum(counts) - counts)[doc[edge]]
-                    size = np.diff(np.append(edge, len(doc)))
-                    for d, k, a, n in zip(doc[edge].tolist(), labels[edge].tolist(), (edge - first).tolist(), size.tolist()):
-                        runs[d].append({"lang": model.langs[k], "first": a, "words": n})
-            columns = [*(batch.column(k) for k in keys), pa.array(pred, pa.string()), pa.array(score, pa.float64())]
-            names = [*keys, "lang_pred", "score"]
-            if spans:
-                columns.append(pa.array(runs, span_type))
-                names.append("spans")
-            yield pa.RecordBatch.from_arrays(columns, names)
+            texts = _split(batch)
+            counts = np.array([len(ws) for ws in texts], np.int64)
+            by_word, letters = known.of(texts)
+            none = np.bincount(np.repeat(np.arange(len(counts)), counts), letters, len(counts)) == 0
+            few = [bool(k) and not any(map(str.isalpha, chain.from_iterable(ws))) for ws, k in zip(texts, none)]
+            rest = batch.select(keys)
+            group.append((rest, counts, by_word, letters, np.array(few, bool)))
+            size += len(letters)
+            if size >= GROUP_WORDS:
+                yield _labelled(group, model, spans)
+                group, size = [], 0
+        if group:
+            yield _labelled(group, model, spans)
 
     return rows.mapInArrow(work, f"{kinds}, lang_pred string, score double"
                            + ", spans array<struct<lang: string, first: bigint, words: bigint>>" * spans)

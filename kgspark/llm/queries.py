@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, langid, token_files, warc
+from . import bpe, chat, decontaminate, jaccard, langid, lattice, token_files, warc
 from .common import crc_fold, shared_path, table
 
 
@@ -27,6 +27,10 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -47,10 +51,18 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op9_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = lattice.read_pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    held = crc_fold("doc_id", 7) == 2
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", "text", held.alias("held_out"), (~held).alias("learn"))
+    return lattice.score(docs, pieces, ["doc_id", "held_out"])
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_report(table(spark, sf_dir, "pages"))
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_chat_format, op3_token_files, op6_byte_bpe, op7_decontaminate, op8_language,
-    op10_warc)}
+    op1_chat_format, op3_token_files, op5_jaccard_join, op6_byte_bpe, op7_decontaminate, op8_language,
+    op9_lattice, op10_warc)}

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from kgspark.llm import bpe
 
-from .util import TEXTS, docs
+from llm_fixtures import TEXTS, docs
 
 
 @pytest.fixture(scope="module")

@@ -11,7 +11,7 @@ from kgspark.llm import token_files as tf
 from kgspark.llm.common import shared_path
 from kgspark.llm.queries import op3_token_files
 
-from .util import TEXTS, docs
+from llm_fixtures import TEXTS, docs
 
 
 @pytest.fixture(scope="module")
