@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, jaccard, langid, lattice, token_files, warc
+from . import ann, bpe, chat, decontaminate, html_text, jaccard, langid, lattice, token_files, warc
 from .common import crc_fold, shared_path, table
 
 
@@ -19,6 +19,10 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.render(chat.reconstruct(events)))
 
 
+def op2_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), k=20, is_query=F.col("vec_id") % 20 == 0)
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     make = token_files.library_encoder(spark, public_tokenizers.path("word_bpe_49k.json"))
     path = token_files.write(table(spark, sf_dir, "documents").select("doc_id", "text"),
@@ -27,6 +31,10 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
 
@@ -64,5 +72,5 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_chat_format, op3_token_files, op5_jaccard_join, op6_byte_bpe, op7_decontaminate, op8_language,
+    op1_chat_format, op2_ann, op3_token_files, op4_html_text, op5_jaccard_join, op6_byte_bpe, op7_decontaminate, op8_language,
     op9_lattice, op10_warc)}
