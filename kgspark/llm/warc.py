@@ -106,11 +106,8 @@ def write_archive(pages: DataFrame, path: str, id_col: str = "page_id", url_col:
      .select("record_no", "sha256", F.col("kind"), F.encode(head, "UTF-8").alias("warc_header"),
              F.encode("http", "UTF-8").alias("http_header"))
      .write.mode("overwrite").parquet(f"{path}/headers"))
-    # one row per payload: the response's own; repeated rows of one id collapse map-side
-    chosen = first.select("sha256", F.col("first_id").alias("id"))
-    (rows.select("id", "payload", F.sha2("payload", 256).alias("sha256"))
-     .join(chosen.withColumnRenamed("id", "first_id"), "sha256")
-     .where(F.col("id").eqNullSafe(F.col("first_id")))
+    # one row per payload, whichever record brings it: rows of one address are equal
+    (rows.select(F.sha2("payload", 256).alias("sha256"), "payload")
      .groupBy("sha256").agg(F.first("payload").alias("payload"))
      .write.mode("overwrite").parquet(f"{path}/payloads"))
     return Archive(path)
