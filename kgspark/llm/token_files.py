@@ -26,11 +26,13 @@ their text; an empty table gives an archive without chunks; extra columns are ig
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -258,43 +260,84 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
 #: Encoders of this Python worker, by tokenizer file.
 _ENCODERS: dict[int, Callable] = {}
+#: Words that go through the library in one text, texts per call, and remembered pieces.
+JOINED, CALL, MOST = 500, 20, 500_000
 
 
 def library_encoder(spark: SparkSession, path: str) -> Callable:
     """``make`` for a tokenizer file of the tokenizers library, without special tokens added."""
     with open(path, encoding="utf-8") as f:
         model = spark.sparkContext.broadcast(f.read())  # a vocabulary file: bounded by its size
-
     key = zlib.crc32(model.value.encode())
 
     def make() -> Callable:
         if key not in _ENCODERS:
-            from tokenizers import Tokenizer
-
-            tokenizer = Tokenizer.from_str(model.value)
-            _ENCODERS[key] = whitespace_cached(
-                lambda words: [e.ids for e in tokenizer.encode_batch(words, add_special_tokens=False)])
+            _ENCODERS[key] = _encoder(model.value)
         return _ENCODERS[key]
 
     return make
 
 
-def whitespace_cached(encode_many: Callable[[list[str]], list[list[int]]], most: int = 300_000) -> Callable:
-    """A text encoder for tokenizers that never join characters across ASCII white space: each
-    distinct word goes through the library once (per table of bounded size), a text's ids are
-    those of its words."""
-    known: dict[bytes, np.ndarray] = {}
+def _encoder(model: str) -> Callable:
+    """Texts (UTF-8) to id arrays, as the library encodes whole texts.
+
+    If the file normalises to lower-case NFC and splits by a pattern, texts of Latin-1 characters
+    alone (which NFC leaves as they are) are split by that pattern here, and each distinct piece goes
+    through the library once per table of bounded size. All other texts go through it whole.
+    """
+    from tokenizers import Tokenizer
+
+    tokenizer, spec = Tokenizer.from_str(model), json.loads(model)
+
+    def many(texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    kinds = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [])]
+    steps = (spec["pre_tokenizer"] or {}).get("pretokenizers", [{}])
+    if kinds != ["NFC", "Replace", "Lowercase"] or [x.get("type") for x in steps] != ["Split", "ByteLevel"] \
+            or not steps[0]["invert"] or spec["model"].get("end_of_word_suffix") != "</w>":
+        return lambda texts: [np.array(x, "<u4") for x in many([t.decode() for t in texts])]
+    pieces_of = regex.compile(steps[0]["pattern"]["Regex"]).findall
+    special = regex.compile("|".join(["[\x1c-\x1f]", *(regex.escape(t["content"]) for t in spec["added_tokens"])])).search
+    vocabulary = tokenizer.get_vocab()
+    ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)  # ids that end a piece
+    ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+    known: dict[str, bytes] = {}
+
+    def learn(missing: list[str]) -> None:
+        """Words of letters are one piece each with one end: many go as one text and come apart."""
+        words = [p for p in missing if p.isalpha()]
+        others = [p for p in missing if not p.isalpha()]
+        lists = [words[i:i + JOINED] for i in range(0, len(words), JOINED)]
+        for k in range(0, len(lists), CALL):
+            for ws, ids in zip(lists[k:k + CALL], many([" ".join(ws) for ws in lists[k:k + CALL]])):
+                stops = np.flatnonzero(ends[ids]) + 1
+                if len(stops) != len(ws):
+                    others += ws
+                    continue
+                data, at = np.array(ids, "<u4").tobytes(), 0
+                for w, stop in zip(ws, (4 * stops).tolist()):
+                    known[w], at = data[at:stop], stop
+        for k in range(0, len(others), JOINED):
+            for p, ids in zip(others[k:k + JOINED], many(others[k:k + JOINED])):
+                known[p] = np.array(ids, "<u4").tobytes()
 
     def encode(texts: list[bytes]) -> list[np.ndarray]:
-        words = [t.split() for t in texts]
-        missing = list({w for ws in words for w in ws if w not in known})
-        if missing:
-            if len(known) + len(missing) > most:
-                known.clear()
-                missing = list({w for ws in words for w in ws})
-            for w, ids in zip(missing, encode_many([w.decode() for w in missing])):
-                known[w] = np.array(ids, "<u4").tobytes()
+        pieces: list[list[str] | None] = []
+        for t in map(bytes.decode, texts):
+            try:
+                t.encode("latin-1")
+                pieces.append(None if special(t) else pieces_of(t.lower()))
+            except UnicodeEncodeError:
+                pieces.append(None)
+        every = set().union(*(p for p in pieces if p is not None))
+        missing = every.difference(known)
+        if len(known) + len(missing) > MOST:
+            known.clear()
+            missing = every
+        learn(list(missing))
         get = known.__getitem__
-        return [np.frombuffer(b"".join(map(get, ws)), "<u4") for ws in words]
+        return [np.frombuffer(b"".join(map(get, p)), "<u4") if p is not None
+                else np.array(many([t.decode()])[0], "<u4") for p, t in zip(pieces, texts)]
 
     return encode
