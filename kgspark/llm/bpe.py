@@ -30,11 +30,10 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, slices
+from .common import small_batches, slices, splitter
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -282,7 +281,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str =
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if key not in _MACHINES:
             _MACHINES[key] = PieceIds(Transducer(shared.value))
-        lookup, split = _MACHINES[key].__getitem__, regex.compile(pattern).findall
+        lookup, split = _MACHINES[key].__getitem__, splitter(pattern)
         for batch in slices(batches, "text"):
             ids = [b"".join(map(lookup, split(t or ""))) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(

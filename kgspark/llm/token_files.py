@@ -27,17 +27,17 @@ their text; an empty table gives an archive without chunks; extra columns are ig
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import small_batches, slices, written
+from .common import small_batches, slices, splitter, written
 
 MAX_BITS = 20
 BLOCK = 256
@@ -281,9 +281,10 @@ def library_encoder(spark: SparkSession, path: str) -> Callable:
 def _encoder(model: str) -> Callable:
     """Texts (UTF-8) to id arrays, as the library encodes whole texts.
 
-    If the file normalises to lower-case NFC and splits by a pattern, texts of Latin-1 characters
-    alone (which NFC leaves as they are) are split by that pattern here, and each distinct piece goes
-    through the library once per table of bounded size. All other texts go through it whole.
+    If the file normalises to lower-case NFC and splits by a pattern that drops white space, nothing
+    joins across ASCII white space, so each distinct word between it is encoded once per table of
+    bounded size. Words of Latin-1 characters (which NFC leaves as they are) are split by the pattern
+    here, and each distinct piece goes through the library; all other words go through it whole.
     """
     from tokenizers import Tokenizer
 
@@ -297,12 +298,13 @@ def _encoder(model: str) -> Callable:
     if kinds != ["NFC", "Replace", "Lowercase"] or [x.get("type") for x in steps] != ["Split", "ByteLevel"] \
             or not steps[0]["invert"] or spec["model"].get("end_of_word_suffix") != "</w>":
         return lambda texts: [np.array(x, "<u4") for x in many([t.decode() for t in texts])]
-    pieces_of = regex.compile(steps[0]["pattern"]["Regex"]).findall
-    special = regex.compile("|".join(["[\x1c-\x1f]", *(regex.escape(t["content"]) for t in spec["added_tokens"])])).search
+    pieces_of = splitter(steps[0]["pattern"]["Regex"])
+    special = re.compile("|".join(["[\x1c-\x1f]", *(re.escape(t["content"]) for t in spec["added_tokens"])])).search
     vocabulary = tokenizer.get_vocab()
     ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)  # ids that end a piece
     ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
     known: dict[str, bytes] = {}
+    of_word: dict[bytes, bytes] = {}
 
     def learn(missing: list[str]) -> None:
         """Words of letters are one piece each with one end: many go as one text and come apart."""
@@ -322,22 +324,40 @@ def _encoder(model: str) -> Callable:
             for p, ids in zip(others[k:k + JOINED], many(others[k:k + JOINED])):
                 known[p] = np.array(ids, "<u4").tobytes()
 
-    def encode(texts: list[bytes]) -> list[np.ndarray]:
-        pieces: list[list[str] | None] = []
-        for t in map(bytes.decode, texts):
-            try:
-                t.encode("latin-1")
-                pieces.append(None if special(t) else pieces_of(t.lower()))
-            except UnicodeEncodeError:
-                pieces.append(None)
-        every = set().union(*(p for p in pieces if p is not None))
-        missing = every.difference(known)
-        if len(known) + len(missing) > MOST:
+    def plain(word: str) -> bool:
+        try:
+            word.encode("latin-1")
+        except UnicodeEncodeError:
+            return False
+        return special(word) is None
+
+    def learn_words(missing: list[bytes]) -> None:
+        texts = [w.decode() for w in missing]
+        ok = [plain(t) for t in texts]
+        pieces = [pieces_of(t.lower()) if k else [] for t, k in zip(texts, ok)]
+        every = set().union(*pieces)
+        if len(known) + len(every) > MOST:
             known.clear()
+        learn(list(every.difference(known)))
+        for w, ps, k in zip(missing, pieces, ok):
+            if k:
+                of_word[w] = b"".join([known[p] for p in ps])
+        rest = [(w, t) for w, t, k in zip(missing, texts, ok) if not k]
+        for k in range(0, len(rest), JOINED):
+            some = rest[k:k + JOINED]
+            for (w, _), ids in zip(some, many([t for _, t in some])):
+                of_word[w] = np.array(ids, "<u4").tobytes()
+
+    def encode(texts: list[bytes]) -> list[np.ndarray]:
+        words = [t.split() for t in texts]
+        every = set().union(*words)
+        missing = every.difference(of_word)
+        if len(of_word) + len(missing) > MOST:
+            of_word.clear()
             missing = every
-        learn(list(missing))
-        get = known.__getitem__
-        return [np.frombuffer(b"".join(map(get, p)), "<u4") if p is not None
-                else np.array(many([t.decode()])[0], "<u4") for p, t in zip(pieces, texts)]
+        if missing:
+            learn_words(list(missing))
+        get = of_word.__getitem__
+        return [np.frombuffer(b"".join(map(get, ws)), "<u4") for ws in words]
 
     return encode
