@@ -119,6 +119,8 @@ class Model:
 
     def scores(self, words: Words) -> np.ndarray:
         """Mean log score per word and language; -inf outside the word's candidates."""
+        if not self.langs:
+            return np.zeros((words.n, 0), np.float32)
         at, buckets = words.grams()
         n = np.maximum(np.bincount(at, minlength=words.n), 1)
         out = np.stack([np.bincount(at, self.table[buckets, k], words.n) / n

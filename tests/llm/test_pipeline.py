@@ -1,0 +1,47 @@
+"""The pipeline against plain versions of its stages on a small table."""
+import hashlib
+
+import duckdb
+import numpy as np
+import public_tokenizers
+import tiktoken
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from kgspark.llm import bpe, langid
+from kgspark.llm.oracles import OP7
+from test_jaccard import brute
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_stages_against_brute_force(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    extra = spark.createDataFrame([(10 ** 6, None, "en", "s", 0), (10 ** 6 + 1, "123 !!", "en", "s", 6), (10 ** 6 + 2, None, None, None, None)], docs.schema)
+    docs = docs.unionByName(extra)
+    kept = corpus_pipeline.language(spark, docs, SF)
+    assert kept.columns == docs.columns
+    rows = kept.collect()
+    model = langid.train(docs)
+    sure = langid.label(docs, model).where((F.col("lang_pred") != "und") & (F.col("score") >= corpus_pipeline.LEAST_SCORE))
+    assert sorted(r["doc_id"] for r in rows) == sorted(r["doc_id"] for r in sure.collect())
+    assert len(rows) >= docs.count() - 3 and max(r["doc_id"] for r in rows) < 10 ** 6
+    one = corpus_pipeline.near_duplicates(spark, kept, SF)
+    ids = {r["doc_id"] for r in one.collect()}
+    assert one.columns == docs.columns and {str(i) for i in ids} == {c for _, c, _ in brute([(r["doc_id"], r["text"]) for r in rows])}
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    con.execute(f"CREATE VIEW benchmark AS SELECT * FROM '{SF}/benchmark.parquet'")
+    dirty = {r[0] for r in con.execute(f"SELECT doc_id FROM ({OP7}) WHERE contaminated").fetchall()}
+    clean = corpus_pipeline.decontamination(spark, one, SF)
+    left = {r["doc_id"]: r["text"] for r in clean.collect()}
+    assert clean.columns == docs.columns and set(left) == ids - dirty and dirty
+    enc = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, special_tokens={},
+                            mergeable_ranks=bpe.read_ranks(public_tokenizers.path(corpus_pipeline.VOCABULARY)))
+    for r in corpus_pipeline.encoding(spark, clean, SF).collect():
+        assert np.frombuffer(bytes(r["ids"]), "<u4").tolist() == enc.encode_ordinary(left[r["doc_id"]])
+        assert r["decoded_sha256"] == hashlib.sha256(left[r["doc_id"]].encode()).hexdigest()
+
+
+def test_run_reads_the_documents(spark):
+    assert corpus_pipeline.run(spark, SF).count() > 100
