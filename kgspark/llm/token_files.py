@@ -261,7 +261,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 #: Encoders of this Python worker, by tokenizer file.
 _ENCODERS: dict[int, Callable] = {}
 #: Words that go through the library in one text, texts per call, and remembered pieces.
-JOINED, CALL, MOST = 500, 20, 500_000
+JOINED, CALL, MOST = 500, 20, 250_000
 
 
 def library_encoder(spark: SparkSession, path: str) -> Callable:
@@ -282,9 +282,10 @@ def _encoder(model: str) -> Callable:
     """Texts (UTF-8) to id arrays, as the library encodes whole texts.
 
     If the file normalises to lower-case NFC and splits by a pattern that drops white space, nothing
-    joins across ASCII white space, so each distinct word between it is encoded once per table of
-    bounded size. Words of Latin-1 characters (which NFC leaves as they are) are split by the pattern
-    here, and each distinct piece goes through the library; all other words go through it whole.
+    joins across ASCII white space, so each distinct word between it is looked up in a table
+    of bounded size. Words of Latin-1 characters (which NFC leaves as they are) are split by the pattern
+    here, and each distinct piece goes through the library; all other words go through it whole. A full
+    table keeps what it has (frequent words come early); further words are kept for their batch alone.
     """
     from tokenizers import Tokenizer
 
@@ -306,8 +307,9 @@ def _encoder(model: str) -> Callable:
     known: dict[str, bytes] = {}
     of_word: dict[bytes, bytes] = {}
 
-    def learn(missing: list[str]) -> None:
+    def learn(missing: list[str]) -> dict[str, bytes]:
         """Words of letters are one piece each with one end: many go as one text and come apart."""
+        out = {}
         words = [p for p in missing if p.isalpha()]
         others = [p for p in missing if not p.isalpha()]
         lists = [words[i:i + JOINED] for i in range(0, len(words), JOINED)]
@@ -319,10 +321,11 @@ def _encoder(model: str) -> Callable:
                     continue
                 data, at = np.array(ids, "<u4").tobytes(), 0
                 for w, stop in zip(ws, (4 * stops).tolist()):
-                    known[w], at = data[at:stop], stop
+                    out[w], at = data[at:stop], stop
         for k in range(0, len(others), JOINED):
             for p, ids in zip(others[k:k + JOINED], many(others[k:k + JOINED])):
-                known[p] = np.array(ids, "<u4").tobytes()
+                out[p] = np.array(ids, "<u4").tobytes()
+        return out
 
     def plain(word: str) -> bool:
         try:
@@ -331,33 +334,32 @@ def _encoder(model: str) -> Callable:
             return False
         return special(word) is None
 
-    def learn_words(missing: list[bytes]) -> None:
+    def learn_words(missing: list[bytes]) -> dict[bytes, bytes]:
         texts = [w.decode() for w in missing]
         ok = [plain(t) for t in texts]
         pieces = [pieces_of(t.lower()) if k else [] for t, k in zip(texts, ok)]
-        every = set().union(*pieces)
-        if len(known) + len(every) > MOST:
-            known.clear()
-        learn(list(every.difference(known)))
-        for w, ps, k in zip(missing, pieces, ok):
-            if k:
-                of_word[w] = b"".join([known[p] for p in ps])
+        fresh = learn(list(set().union(*pieces).difference(known)))
+        known.update(fresh)
+        out = {w: b"".join([known[p] for p in ps]) for w, ps, k in zip(missing, pieces, ok) if k}
+        if len(known) > MOST:
+            for p in fresh:
+                del known[p]
         rest = [(w, t) for w, t, k in zip(missing, texts, ok) if not k]
         for k in range(0, len(rest), JOINED):
             some = rest[k:k + JOINED]
             for (w, _), ids in zip(some, many([t for _, t in some])):
-                of_word[w] = np.array(ids, "<u4").tobytes()
+                out[w] = np.array(ids, "<u4").tobytes()
+        return out
 
     def encode(texts: list[bytes]) -> list[np.ndarray]:
         words = [t.split() for t in texts]
-        every = set().union(*words)
-        missing = every.difference(of_word)
-        if len(of_word) + len(missing) > MOST:
-            of_word.clear()
-            missing = every
-        if missing:
-            learn_words(list(missing))
+        fresh = learn_words(list(set().union(*words).difference(of_word)))
+        of_word.update(fresh)
         get = of_word.__getitem__
-        return [np.frombuffer(b"".join(map(get, ws)), "<u4") for ws in words]
+        out = [np.frombuffer(b"".join(map(get, ws)), "<u4") for ws in words]
+        if len(of_word) > MOST:
+            for w in fresh:
+                del of_word[w]
+        return out
 
     return encode
