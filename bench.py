@@ -33,7 +33,7 @@ def main() -> None:
     cfg = PipelineConfig(
         source=SourceConfig("documents", sf_dir),
         storage=StorageConfig(base_path=f"{work}/tables"),
-        community=CommunityConfig(max_rounds=8),
+        community=CommunityConfig(),
         embedding=EmbeddingConfig(dimensions=768),
     )
     pipe = Pipeline(spark, cfg)

@@ -234,12 +234,11 @@ class PythonBatchBackend:
                 responses, statuses = [], []
                 for start in range(0, len(prompts), bs):
                     chunk = prompts[start:start + bs]
-                    try:
-                        results = fn([p if p is not None else "" for p in chunk])
-                    except Exception as exc:  # a failed call marks its rows, never the job
-                        results = [(None, f"ERROR: {exc}")] * len(chunk)
+                    # a call that fails is retried by Spark, then fails the job; only statuses
+                    # that the service returns for single rows are tolerated
+                    results = fn([p if p is not None else "" for p in chunk])
                     if len(results) != len(chunk):
-                        results = [(None, "ERROR: result count mismatch")] * len(chunk)
+                        raise ValueError(f"{len(results)} results for {len(chunk)} requests")
                     for text, err in results:
                         if err:
                             responses.append(None)

@@ -303,7 +303,7 @@ def q_neighbors_one_hop(spark: SparkSession, sf: str) -> DataFrame:
 def q_communities_detected(spark: SparkSession, sf: str) -> DataFrame:
     from ..operators import communities as C
     ents, rels = cached_graph(spark, sf)
-    c = C.detect(ents, rels, max_rounds=8)
+    c = C.detect(ents, rels)
     return c.select("id", "level", F.size("entity_ids").cast("bigint").alias("n_entities"))
 
 
@@ -333,7 +333,7 @@ def q_pipeline_end_to_end(spark: SparkSession, sf: str) -> DataFrame:
     from .pipeline import run_pipeline
     base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/kgspark-e2e-{uuid.uuid4().hex}"
     cfg = PipelineConfig(source=SourceConfig("documents", sf), storage=StorageConfig(base),
-                         community=CommunityConfig(max_rounds=8))
+                         community=CommunityConfig())
     run_pipeline(spark, cfg)
     sink = TableStore(spark, base + "/sink")
     return sink.read("communities").groupBy("level").agg(

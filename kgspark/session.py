@@ -46,6 +46,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not conf_dir:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         # Local runs only: the cluster always provides spark.checkpoint.dir.
         conf_dir = tempfile.mkdtemp(prefix="kgspark-ckpt-")
     sc.setCheckpointDir(conf_dir)

@@ -23,11 +23,9 @@ def _fs(spark: SparkSession, path: str):
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        fs, jpath = _fs(spark, path)
-        return bool(fs.exists(jpath))
-    except Exception:  # any failure means "not there", as the reference does
-        return False
+    """Whether the path is there. A storage error is not an absent path: it raises."""
+    fs, jpath = _fs(spark, path)
+    return bool(fs.exists(jpath))
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
