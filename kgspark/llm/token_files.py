@@ -261,7 +261,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 #: Encoders of this Python worker, by tokenizer file.
 _ENCODERS: dict[int, Callable] = {}
 #: Words that go through the library in one text, texts per call, and remembered pieces.
-JOINED, CALL, MOST = 500, 20, 250_000
+JOINED, CALL, MOST = 500, 20, 120_000
 
 
 def library_encoder(spark: SparkSession, path: str) -> Callable:
