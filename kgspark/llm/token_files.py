@@ -27,7 +27,7 @@ their text; an empty table gives an archive without chunks; extra columns are ig
 from __future__ import annotations
 
 import json
-import re
+import os
 import zlib
 from collections.abc import Callable, Iterable, Iterator
 
@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import small_batches, slices, splitter, written
+from .common import small_batches, slices, written
 
 MAX_BITS = 20
 BLOCK = 256
@@ -260,8 +260,10 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
 #: Encoders of this Python worker, by tokenizer file.
 _ENCODERS: dict[int, Callable] = {}
-#: Words that go through the library in one text, texts per call, and remembered pieces.
-JOINED, CALL, MOST = 500, 20, 120_000
+#: Words that go through the library in one text, texts per call, and remembered words.
+JOINED, CALL, MOST = 2000, 8, 200_000
+#: Signs to set between words; the first that is one id of its own is taken.
+SIGNS = "\u267b\u2764\u2605\u2713"
 
 
 def library_encoder(spark: SparkSession, path: str) -> Callable:
@@ -282,11 +284,13 @@ def _encoder(model: str) -> Callable:
     """Texts (UTF-8) to id arrays, as the library encodes whole texts.
 
     If the file normalises to lower-case NFC and splits by a pattern that drops white space, nothing
-    joins across ASCII white space, so each distinct word between it is looked up in a table
-    of bounded size. Words of Latin-1 characters (which NFC leaves as they are) are split by the pattern
-    here, and each distinct piece goes through the library; all other words go through it whole. A full
-    table keeps what it has (frequent words come early); further words are kept for their batch alone.
+    joins across ASCII white space, so each distinct word between it is looked up in a table of bounded
+    size. Words that are not there go through the library many in one text, and their ids come apart
+    again: words of letters are one piece each and end with an id that ends a piece; between all others
+    stands a sign that is one id of its own and that no word of the text holds. A full table keeps what it
+    has (frequent words come early); further words are kept for their batch alone.
     """
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task's core is the only one that it has
     from tokenizers import Tokenizer
 
     tokenizer, spec = Tokenizer.from_str(model), json.loads(model)
@@ -296,64 +300,48 @@ def _encoder(model: str) -> Callable:
 
     kinds = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [])]
     steps = (spec["pre_tokenizer"] or {}).get("pretokenizers", [{}])
+    sign = next((c for c in SIGNS if len(many([c])[0]) == 1), None)
     if kinds != ["NFC", "Replace", "Lowercase"] or [x.get("type") for x in steps] != ["Split", "ByteLevel"] \
-            or not steps[0]["invert"] or spec["model"].get("end_of_word_suffix") != "</w>":
+            or not steps[0]["invert"] or spec["model"].get("end_of_word_suffix") != "</w>" or sign is None:
         return lambda texts: [np.array(x, "<u4") for x in many([t.decode() for t in texts])]
-    pieces_of = splitter(steps[0]["pattern"]["Regex"])
-    special = re.compile("|".join(["[\x1c-\x1f]", *(re.escape(t["content"]) for t in spec["added_tokens"])])).search
+    sign_id = many([sign])[0][0]
     vocabulary = tokenizer.get_vocab()
     ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)  # ids that end a piece
     ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-    known: dict[str, bytes] = {}
     of_word: dict[bytes, bytes] = {}
 
-    def learn(missing: list[str]) -> dict[str, bytes]:
-        """Words of letters are one piece each with one end: many go as one text and come apart."""
-        out = {}
-        words = [p for p in missing if p.isalpha()]
-        others = [p for p in missing if not p.isalpha()]
+    def joined(words: list[str], between: str) -> Iterator[tuple[list[str], np.ndarray]]:
         lists = [words[i:i + JOINED] for i in range(0, len(words), JOINED)]
         for k in range(0, len(lists), CALL):
-            for ws, ids in zip(lists[k:k + CALL], many([" ".join(ws) for ws in lists[k:k + CALL]])):
-                stops = np.flatnonzero(ends[ids]) + 1
-                if len(stops) != len(ws):
-                    others += ws
-                    continue
-                data, at = np.array(ids, "<u4").tobytes(), 0
-                for w, stop in zip(ws, (4 * stops).tolist()):
-                    out[w], at = data[at:stop], stop
-        for k in range(0, len(others), JOINED):
-            for p, ids in zip(others[k:k + JOINED], many(others[k:k + JOINED])):
-                out[p] = np.array(ids, "<u4").tobytes()
-        return out
-
-    def plain(word: str) -> bool:
-        try:
-            word.encode("latin-1")
-        except UnicodeEncodeError:
-            return False
-        return special(word) is None
-
-    def learn_words(missing: list[bytes]) -> dict[bytes, bytes]:
-        texts = [w.decode() for w in missing]
-        ok = [plain(t) for t in texts]
-        pieces = [pieces_of(t.lower()) if k else [] for t, k in zip(texts, ok)]
-        fresh = learn(list(set().union(*pieces).difference(known)))
-        known.update(fresh)
-        out = {w: b"".join([known[p] for p in ps]) for w, ps, k in zip(missing, pieces, ok) if k}
-        if len(known) > MOST:
-            for p in fresh:
-                del known[p]
-        rest = [(w, t) for w, t, k in zip(missing, texts, ok) if not k]
-        for k in range(0, len(rest), JOINED):
-            some = rest[k:k + JOINED]
-            for (w, _), ids in zip(some, many([t for _, t in some])):
-                out[w] = np.array(ids, "<u4").tobytes()
-        return out
+            some = lists[k:k + CALL]
+            for ws, ids in zip(some, many([between.join(ws) for ws in some])):
+                yield ws, np.array(ids, "<u4")
+
+    def learn(missing: list[bytes]) -> dict[bytes, bytes]:
+        out: dict[str, bytes] = {}
+        texts = b"\n".join(missing).decode().split("\n") if missing else []
+        others = [w for w in texts if not w.isalpha()]
+        for ws, ids in joined([w for w in texts if w.isalpha()], " "):
+            stops = np.flatnonzero(ends[ids]) + 1
+            if len(stops) != len(ws):  # lower case added a mark that splits a word
+                others += ws
+                continue
+            data, at = ids.tobytes(), 0
+            for w, stop in zip(ws, (4 * stops).tolist()):
+                out[w], at = data[at:stop], stop
+        for ws, ids in joined([w for w in others if sign not in w], f" {sign} "):
+            data, at = ids.tobytes(), 0
+            for w, stop in zip(ws, [*(4 * np.flatnonzero(ids == sign_id)).tolist(), len(data)]):
+                out[w], at = data[at:stop], stop + 4
+        with_sign = [w for w in others if sign in w]
+        for k in range(0, len(with_sign), JOINED):
+            some = with_sign[k:k + JOINED]
+            out.update((w, np.array(ids, "<u4").tobytes()) for w, ids in zip(some, many(some)))
+        return {b: out[w] for b, w in zip(missing, texts)}
 
     def encode(texts: list[bytes]) -> list[np.ndarray]:
         words = [t.split() for t in texts]
-        fresh = learn_words(list(set().union(*words).difference(of_word)))
+        fresh = learn(list(set().union(*words).difference(of_word)))
         of_word.update(fresh)
         get = of_word.__getitem__
         out = [np.frombuffer(b"".join(map(get, ws)), "<u4") for ws in words]
