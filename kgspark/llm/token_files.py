@@ -260,8 +260,8 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
 #: Encoders of this Python worker, by tokenizer file.
 _ENCODERS: dict[int, Callable] = {}
-#: Words that go through the library in one text, texts per call, and remembered words.
-JOINED, CALL, MOST = 2000, 8, 200_000
+#: Words that go through the library in one text, texts per call, and remembered words with their bytes.
+JOINED, CALL, MOST, LONGEST = 2000, 8, 400_000, 64
 #: Signs to set between words; the first that is one id of its own is taken.
 SIGNS = "\u267b\u2764\u2605\u2713"
 
@@ -345,9 +345,8 @@ def _encoder(model: str) -> Callable:
         of_word.update(fresh)
         get = of_word.__getitem__
         out = [np.frombuffer(b"".join(map(get, ws)), "<u4") for ws in words]
-        if len(of_word) > MOST:
-            for w in fresh:
-                del of_word[w]
+        for w in fresh if len(of_word) > MOST else [w for w in fresh if len(w) > LONGEST]:
+            del of_word[w]
         return out
 
     return encode
