@@ -3,7 +3,8 @@
 Reads are lazy DataFrames (column pruning and predicates reach the Parquet scan);
 nothing is collected. Writes go to a staging folder first and are then swapped in,
 so a step may overwrite a table it reads (Q10) and a failed job never leaves a
-half-written table behind.
+half-written table behind. The table before is set aside until the new one is in
+place; if the driver is lost between the two renames, the next access brings it back.
 """
 
 from __future__ import annotations
@@ -48,8 +49,19 @@ class TableStore:
     def path(self, name: str) -> str:
         return f"{self.base_path}/{name}"
 
+    def _previous(self, name: str) -> str:
+        return f"{self.path(name)}.__previous"
+
+    def _recover(self, name: str) -> None:
+        """Bring back the table that an interrupted swap set aside."""
+        fs, target = _fs(self.spark, self.path(name))
+        _, previous = _fs(self.spark, self._previous(name))
+        if not fs.exists(target) and fs.exists(previous) and not fs.rename(previous, target):
+            raise IOError(f"could not bring back {name}")
+
     # S5
     def exists(self, name: str) -> bool:
+        self._recover(name)
         return path_exists(self.spark, self.path(name) + "/_SUCCESS")
 
     # S2 / S3 / S4
@@ -74,6 +86,7 @@ class TableStore:
             df = conform(df, schema)
         target = self.path(name)
         writer_opts = (lambda w: w.partitionBy(*partition_by)) if partition_by else (lambda w: w)
+        self._recover(name)
         if mode == "append":
             writer_opts(df.write.mode("append")).parquet(target)
             return target
@@ -81,10 +94,14 @@ class TableStore:
         writer_opts(df.write.mode("overwrite")).parquet(staging)
         fs, jtarget = _fs(self.spark, target)
         _, jstaging = _fs(self.spark, staging)
+        _, jprevious = _fs(self.spark, self._previous(name))
         if fs.exists(jtarget):
-            fs.delete(jtarget, True)
+            fs.delete(jprevious, True)  # left by a swap whose new table is in place
+            if not fs.rename(jtarget, jprevious):
+                raise IOError(f"could not set {target} aside")
         if not fs.rename(jstaging, jtarget):
             raise IOError(f"could not move {staging} to {target}")
+        fs.delete(jprevious, True)
         return target
 
     def append(self, df: DataFrame, name: str, schema: T.StructType | None = None) -> str:

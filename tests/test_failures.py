@@ -1,9 +1,11 @@
 """Failures must not end in a green run with fewer rows."""
 import pytest
 
+from kgspark.operators import embed as EM
 from kgspark.operators.communities import connected_components
 from kgspark.operators.model import PythonBatchBackend, call_model
-from kgspark.sources.tables import path_exists
+from kgspark.sources import tables
+from kgspark.sources.tables import TableStore, path_exists
 
 
 def test_a_dead_model_fails_the_step(spark):
@@ -28,3 +30,42 @@ def test_components_of_a_long_path_are_complete(spark):
                                   "part int, u string, v string, w double")
     nodes = spark.createDataFrame([(0, str(i).zfill(3)) for i in range(n)], "part int, node string")
     assert {r["comp"] for r in connected_components(edges, nodes).collect()} == {"000"}
+
+
+def test_failed_embeddings_raise(spark):
+    def fn(texts):
+        if "boom" in texts:
+            raise RuntimeError("service down")
+        return [[1.0] for _ in texts]
+    rows = spark.createDataFrame([("x", "ok"), ("y", "boom")], "id string, t string")
+    backend = EM.PythonEmbedBackend(fn, batch_size=1, num_tasks=2)
+    EM.check_complete(EM.embed(rows.where("id = 'x'"), "id", "t", backend), "v")
+    with pytest.raises(RuntimeError, match="1 texts without a vector, such as y.*service down"):
+        EM.check_complete(EM.embed(rows, "id", "t", backend), "v")
+
+
+def test_a_swap_cut_off_in_the_middle_keeps_the_table(spark, tmp_path, monkeypatch):
+    store = TableStore(spark, str(tmp_path))
+    store.write(spark.range(3), "t")
+    real = tables._fs
+
+    class Cut:  # the second rename, of the new table, never happens
+        def __init__(self, fs):
+            self.fs = fs
+
+        def __getattr__(self, name):
+            return getattr(self.fs, name)
+
+        def rename(self, a, b):
+            if "__staging_" in a.toString():
+                raise ConnectionError("driver lost")
+            return self.fs.rename(a, b)
+
+    with monkeypatch.context() as m:
+        m.setattr(tables, "_fs", lambda s, p: (Cut(real(s, p)[0]), real(s, p)[1]))
+        with pytest.raises(ConnectionError):
+            store.write(spark.range(5), "t")
+    assert store.read("t").count() == 3
+    store.write(spark.range(7), "t")
+    assert store.read("t").count() == 7
+    assert not path_exists(spark, f"{tmp_path}/t.__previous")
