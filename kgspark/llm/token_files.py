@@ -26,18 +26,21 @@ their text; an empty table gives an archive without chunks; extra columns are ig
 
 from __future__ import annotations
 
+import itertools
 import json
 import os
+import re
 import zlib
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import small_batches, slices, written
+from .common import small_batches, slices, splitter, utf8, written
 
 MAX_BITS = 20
 BLOCK = 256
@@ -145,6 +148,23 @@ class Reader:
         return out.T.reshape(-1)[:n]
 
 
+def _together(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[list, list[bytes]]]:
+    """Ids and texts (null: empty) of rows in order, about ``TOGETHER`` bytes of text at a time."""
+    keys: list = []
+    texts: list[bytes] = []
+    size = 0
+    for batch in slices(batches, "text"):
+        keys += batch.column("doc_id").to_pylist()
+        new = utf8(batch, "text")
+        texts += new
+        size += sum(map(len, new))
+        if size >= TOGETHER:
+            yield keys, texts
+            keys, texts, size = [], [], 0
+    if keys:
+        yield keys, texts
+
+
 def _tokenised(docs: DataFrame, make: Callable, end_id: int, width: int) -> DataFrame:
     """Chunks of ids in ascending id order, per partition. ``make()`` gives, in each task, a
     function from texts (bytes) to a list of id arrays."""
@@ -172,9 +192,8 @@ def _tokenised(docs: DataFrame, make: Callable, end_id: int, width: int) -> Data
             return pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row, kinds)],
                                               [f.split()[0] for f in CHUNK_FIELDS.split(", ")])
 
-        for batch in slices(batches, "text"):
-            texts = [x or b"" for x in batch.column("text").cast(pa.binary()).to_pylist()]
-            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encode(texts)):
+        for keys, texts in _together(batches):
+            for doc_id, ids in zip(keys, encode(texts)):
                 doc_ids.append(doc_id)
                 held.append(np.append(ids, end_id))
                 size += len(ids) + 1
@@ -260,10 +279,10 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
 #: Encoders of this Python worker, by tokenizer file.
 _ENCODERS: dict[int, Callable] = {}
-#: Words that go through the library in one text, texts per call, and remembered words with their bytes.
-JOINED, CALL, MOST, LONGEST = 2000, 8, 400_000, 64
-#: Signs to set between words; the first that is one id of its own is taken.
-SIGNS = "\u267b\u2764\u2605\u2713"
+#: Pieces that go through the library in one text, texts per call, and remembered pieces with their bytes.
+JOINED, CALL, MOST, LONGEST = 2000, 8, 800_000, 64
+#: Bytes of text that are encoded together: the more, the fewer words are seen anew.
+TOGETHER = 12 << 20
 
 
 def library_encoder(spark: SparkSession, path: str) -> Callable:
@@ -284,69 +303,104 @@ def _encoder(model: str) -> Callable:
     """Texts (UTF-8) to id arrays, as the library encodes whole texts.
 
     If the file normalises to lower-case NFC and splits by a pattern that drops white space, nothing
-    joins across ASCII white space, so each distinct word between it is looked up in a table of bounded
-    size. Words that are not there go through the library many in one text, and their ids come apart
-    again: words of letters are one piece each and end with an id that ends a piece; between all others
-    stands a sign that is one id of its own and that no word of the text holds. A full table keeps what it
-    has (frequent words come early); further words are kept for their batch alone.
+    joins across ASCII white space, so each distinct word of a batch is encoded once. A word of Latin-1
+    characters (which NFC leaves alone) is lower-cased and split here and its pieces are looked up in a
+    table of bounded size; the missing ones go many at a time through the library's model, whose ids
+    come apart where one ends a piece. All other words, and those that hold an added token, go through
+    the whole library one by one. A full table keeps what it has (frequent pieces come early); further
+    pieces are kept for their batch alone.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task's core is the only one that it has
-    from tokenizers import Tokenizer
+    from tokenizers import Tokenizer, pre_tokenizers
 
     tokenizer, spec = Tokenizer.from_str(model), json.loads(model)
 
-    def many(texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def many(texts: list[str], by: Tokenizer = tokenizer) -> list[list[int]]:
+        return [e.ids for e in by.encode_batch_fast(texts, add_special_tokens=False)]
 
     kinds = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [])]
     steps = (spec["pre_tokenizer"] or {}).get("pretokenizers", [{}])
-    sign = next((c for c in SIGNS if len(many([c])[0]) == 1), None)
     if kinds != ["NFC", "Replace", "Lowercase"] or [x.get("type") for x in steps] != ["Split", "ByteLevel"] \
-            or not steps[0]["invert"] or spec["model"].get("end_of_word_suffix") != "</w>" or sign is None:
+            or not steps[0]["invert"] or spec["model"].get("end_of_word_suffix") != "</w>" \
+            or any(t["normalized"] for t in spec["added_tokens"]):
         return lambda texts: [np.array(x, "<u4") for x in many([t.decode() for t in texts])]
-    sign_id = many([sign])[0][0]
+    split = splitter(steps[0]["pattern"]["Regex"])
+    added = re.compile("|".join(re.escape(t["content"]) for t in spec["added_tokens"]) or r"(?!)").search
+    # the model alone, for pieces that are already normalised, split and spelt in signs for bytes
+    bare = Tokenizer(tokenizer.model)
+    bare.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
+    spell = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+    spelt = {c: spell(chr(c))[0][0] for c in range(256)}
     vocabulary = tokenizer.get_vocab()
     ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)  # ids that end a piece
     ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-    of_word: dict[bytes, bytes] = {}
+    of_piece: dict[bytes, bytes] = {b"": b""}
+
+    def whole(words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+        for k in range(0, len(words), JOINED):
+            some = words[k:k + JOINED]
+            yield from zip(some, (np.array(ids, "<u4").tobytes() for ids in many([w.decode() for w in some])))
 
-    def joined(words: list[str], between: str) -> Iterator[tuple[list[str], np.ndarray]]:
-        lists = [words[i:i + JOINED] for i in range(0, len(words), JOINED)]
+    def pieces(missing: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+        lists = [missing[i:i + JOINED] for i in range(0, len(missing), JOINED)]
         for k in range(0, len(lists), CALL):
             some = lists[k:k + CALL]
-            for ws, ids in zip(some, many([between.join(ws) for ws in some])):
-                yield ws, np.array(ids, "<u4")
-
-    def learn(missing: list[bytes]) -> dict[bytes, bytes]:
-        out: dict[str, bytes] = {}
-        texts = b"\n".join(missing).decode().split("\n") if missing else []
-        others = [w for w in texts if not w.isalpha()]
-        for ws, ids in joined([w for w in texts if w.isalpha()], " "):
-            stops = np.flatnonzero(ends[ids]) + 1
-            if len(stops) != len(ws):  # lower case added a mark that splits a word
-                others += ws
+            for ws, found in zip(some, many([b" ".join(ws).decode().translate({**spelt, 32: " "}) for ws in some], bare)):
+                ids = np.array(found, "<u4")
+                stops = np.flatnonzero(ends[ids]) + 1
+                if len(stops) != len(ws):  # an id that may also stand inside a piece
+                    yield from whole(ws)
+                    continue
+                data, at = ids.tobytes(), 0
+                for w, stop in zip(ws, (4 * stops).tolist()):
+                    yield w, data[at:stop]
+                    at = stop
+
+    def look_up(words: list[bytes]) -> list[bytes]:
+        at: list[int] = []      # places of words that are split here, and their pieces joined by spaces
+        spaced: list[bytes] = []
+        others: list[int] = []
+        out = [b""] * len(words)
+        for i, w in enumerate(words):
+            if w.isalpha():
+                at.append(i)
+                spaced.append(w.lower())
                 continue
-            data, at = ids.tobytes(), 0
-            for w, stop in zip(ws, (4 * stops).tolist()):
-                out[w], at = data[at:stop], stop
-        for ws, ids in joined([w for w in others if sign not in w], f" {sign} "):
-            data, at = ids.tobytes(), 0
-            for w, stop in zip(ws, [*(4 * np.flatnonzero(ids == sign_id)).tolist(), len(data)]):
-                out[w], at = data[at:stop], stop + 4
-        with_sign = [w for w in others if sign in w]
-        for k in range(0, len(with_sign), JOINED):
-            some = with_sign[k:k + JOINED]
-            out.update((w, np.array(ids, "<u4").tobytes()) for w, ids in zip(some, many(some)))
-        return {b: out[w] for b, w in zip(missing, texts)}
+            text = w.decode()
+            if (not w.isascii() and max(text) > "\xff") or added(text):
+                others.append(i)
+            else:
+                at.append(i)
+                spaced.append(" ".join(split(text.lower())).encode())
+        wanted = set(b" ".join(spaced).split(b" ")).difference(of_piece)
+        wanted.discard(b"")
+        plain = [w for w in wanted if w.isascii()]  # apart: their signs are spelt faster
+        fresh = dict(pieces(plain))
+        fresh.update(pieces([w for w in wanted if not w.isascii()]))
+        of_piece.update(fresh)
+        get = of_piece.__getitem__
+        for i, ps in zip(at, spaced):
+            out[i] = b"".join(map(get, ps.split(b" "))) if b" " in ps else get(ps)
+        for i, (_, ids) in zip(others, whole([words[i] for i in others])):
+            out[i] = ids
+        for w in fresh if len(of_piece) > MOST else [w for w in fresh if len(w) > LONGEST]:
+            del of_piece[w]
+        return out
 
     def encode(texts: list[bytes]) -> list[np.ndarray]:
-        words = [t.split() for t in texts]
-        fresh = learn(list(set().union(*words).difference(of_word)))
-        of_word.update(fresh)
-        get = of_word.__getitem__
-        out = [np.frombuffer(b"".join(map(get, ws)), "<u4") for ws in words]
-        for w in fresh if len(of_word) > MOST else [w for w in fresh if len(w) > LONGEST]:
-            del of_word[w]
-        return out
+        # one word column for all texts; each distinct word is looked up once
+        lists = pc.ascii_split_whitespace(pa.array(texts, pa.large_binary()).view(pa.large_string()))
+        coded = lists.flatten().dictionary_encode()
+        found = look_up(coded.dictionary.cast(pa.large_binary()).to_pylist())
+        ids = np.frombuffer(b"".join(found), "<u4")
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) >> 2
+        starts = np.cumsum(sizes) - sizes
+        at = coded.indices.to_numpy(zero_copy_only=False)
+        n = sizes[at]
+        ends_at = np.cumsum(n)
+        # position of every id: the start of its word in ``ids``, and its place in the word
+        out = ids[np.repeat(starts[at] - (ends_at - n), n) + np.arange(int(n.sum()))]
+        edges = np.concatenate([[0], ends_at])[lists.offsets.to_numpy()]
+        return [out[i:j] for i, j in itertools.pairwise(edges.tolist())]
 
     return encode

@@ -82,3 +82,23 @@ def test_lengths_are_optimal():
     assert int((tf.code_lengths(counts, 40) * counts).sum()) == cost
     short = tf.code_lengths(counts, 8)
     assert short.max() == 8 and (short * counts).sum() >= cost
+
+
+ODD = ["", "a\x1cb 12\x85c", "ÀÉ'S it'LL we've", "<|endoftext|>x a<|startoftext|>", "</w> </w>a <w/>", "İstanbul ΣΑΣ é",
+       "日本 語'x", "½²x µ ß", "  ", "#" * 300, " x y", "\x00\x7f\x80\xad", "A" * 5000, " a　b", "Haedon$$$ haedon, HAEDON"]
+
+
+def test_encoder_equals_library_on_odd_words(spark, tokenizer):
+    encode = _make(spark)()
+    want = [tokenizer.encode(t, add_special_tokens=False).ids for t in ODD]
+    for _ in range(2):  # with an empty table, and from it
+        assert [x.tolist() for x in encode([t.encode() for t in ODD])] == want
+    assert [x.tolist() for x in encode([" \n".join(ODD).encode()])] == \
+        [tokenizer.encode(" \n".join(ODD), add_special_tokens=False).ids]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(alphabet=st.one_of(st.characters(max_codepoint=0xff), st.sampled_from("AbÉß'sİ́日 ")), max_size=60), max_size=5))
+def test_encoder_equals_library_on_any_text(spark, tokenizer, texts):
+    got = _make(spark)()([t.encode() for t in texts])
+    assert [x.tolist() for x in got] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
