@@ -30,8 +30,6 @@ class CommunityConfig:
     # None = number of vertices, as the reference passes it (only level 0 appears)
     max_cluster_size: int | None = None
     include_isolates: bool = False
-    max_rounds: int = 12
-    max_passes: int = 6
 
 
 @dataclass(frozen=True)
