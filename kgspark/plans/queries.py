@@ -222,8 +222,7 @@ def q_modularity_given_partition(spark: SparkSession, sf: str) -> DataFrame:
 def q_report_context(spark: SparkSession, sf: str) -> DataFrame:
     from ..operators import reports as RP
     ents, rels = cached_graph(spark, sf)
-    leaves = _given(spark, sf).where("level = 1")
-    ctx = RP.community_context(leaves, ents, rels, None)
+    ctx = RP.community_context(_given(spark, sf), ents, rels, None)
     return ctx.select(F.col("community_id").alias("id"), F.sha2("context", 256).alias("ctx_sha"),
                       F.length("context").cast("bigint").alias("ctx_len"))
 
@@ -231,12 +230,24 @@ def q_report_context(spark: SparkSession, sf: str) -> DataFrame:
 def q_report_body(spark: SparkSession, sf: str) -> DataFrame:
     from ..operators import reports as RP
     ents, rels = cached_graph(spark, sf)
-    leaves = _given(spark, sf).where("level = 1")
-    rep = RP.generate_reports(leaves, ents, rels)
+    rep = RP.generate_reports(_given(spark, sf), ents, rels)
     return rep.select("id", "title", _r6("rating").alias("rating"),
                       F.sha2("full_content", 256).alias("body_sha"), "findings")
 
 
+def q_reports_two_levels(spark: SparkSession, sf: str) -> DataFrame:
+    """Contexts of both levels, the upper one with the reports of its children."""
+    from ..operators import reports as RP
+    ents, rels = cached_graph(spark, sf)
+    comm = _given(spark, sf)
+    reports = RP.generate_reports(comm, ents, rels)
+    leaf, upper = F.size("child_community_ids") == 0, F.size("child_community_ids") > 0
+    ctx = RP.community_context(comm.where(leaf), ents, rels, None).unionByName(
+        RP.community_context(comm.where(upper), ents, rels, reports))
+    return ctx.select(F.col("community_id").alias("id"), F.col("level").cast("bigint").alias("level"),
+                      F.sha2("context", 256).alias("ctx_sha"))
+
+
 # ---------------------------------------------------------------- search, sink, views
 
 
@@ -307,6 +318,15 @@ def q_communities_detected(spark: SparkSession, sf: str) -> DataFrame:
     return c.select("id", "level", F.size("entity_ids").cast("bigint").alias("n_entities"))
 
 
+def q_communities_hierarchy(spark: SparkSession, sf: str) -> DataFrame:
+    """Invariants of a detection that splits clusters of more than 60 members again."""
+    from ..operators import communities as C
+    from ..session import cut_lineage
+    ents, rels = cached_graph(spark, sf)
+    e = cut_lineage(C.weighted_edges(ents, rels))
+    return C.hierarchy_invariants(e, cut_lineage(C.hierarchical_communities(e, max_cluster_size=60)))
+
+
 def q_rel_dangling(spark: SparkSession, sf: str) -> DataFrame:
     ex = cached_extraction(spark, sf)
     kept = G.collapse_titles(ex.entities_raw)
@@ -370,12 +390,14 @@ QUERIES = {
     "modularity_given_partition": q_modularity_given_partition,
     "report_context": q_report_context,
     "report_body": q_report_body,
+    "reports_two_levels": q_reports_two_levels,
     "cosine_topk": q_cosine_topk,
     "upsert_entities": q_upsert_entities,
     "constraint_violations": q_constraint_violations,
     "node_union": q_node_union,
     "neighbors_one_hop": q_neighbors_one_hop,
     "communities_detected": q_communities_detected,
+    "communities_hierarchy": q_communities_hierarchy,
     "rel_dangling": q_rel_dangling,
     "connected_components": q_connected_components,
     "pipeline_end_to_end": q_pipeline_end_to_end,
