@@ -1,11 +1,16 @@
 """Approximate nearest neighbours by cross-polytope hashing.
 
 A table's hash applies fast pseudo-rotations (``ROUNDS`` times random signs, then a Hadamard
-transform) to a vector padded to a power of two and takes the nearest signed axis. Vectors are first
-lifted to unit length (one more coordinate, sqrt(M^2 - |x|^2), with M the largest norm; a query gets 0 there),
-so the largest inner product is the smallest angle. A query looks into the ``PROBES`` axes that are
-nearest to it in each of ``TABLES`` tables; candidates are reranked by exact inner products in double
-precision on the original vectors.
+transform) to a vector padded to a power of two and takes the nearest signed axis. Vectors are dealt to
+ranges of their norm, ``1 / OCTAVE`` of a doubling each, and lifted to one length within their range (one more
+coordinate, sqrt(M^2 - |x|^2), with M the range's own largest norm; a query gets 0 there), so the largest
+inner product of a range is its smallest angle, and a long vector changes the hashes of no other range. A
+query looks into the ``PROBES`` axes that are nearest to it in each of ``TABLES`` tables of every range;
+candidates are reranked by exact inner products in double precision on the original vectors.
+A range of fewer vectors than a table has axes is not hashed: every query meets all of it.
+
+Queries that end with fewer than ``k`` neighbours, or fewer than all others if there are not ``k``, are
+searched again exactly, in blocks against all vectors.
 
 Equal vectors are one class, found by a partial aggregate, which keeps the ``k + 1`` smallest ids: no
 more of them can be among a query's ``k`` nearest besides itself, as ties go to smaller ids. So a
@@ -19,8 +24,8 @@ are never written out; per query k rows leave a group, and the groups' rows merg
 Defined cases: vectors that are null, zero, empty or hold null or non-finite components take no part,
 neither as queries nor as candidates; all others must have one length (else the job fails); null
 ids take no part; rows that repeat an id and its vector are one vector; an id with several
-vectors has several candidates and queries with each; fewer candidates than k are all returned if
-the probes reach them; an empty table gives no rows; extra columns are ignored.
+vectors has several candidates and queries with each; fewer candidates than k are all returned; an empty table gives no
+rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -37,6 +42,10 @@ from .common import written
 TABLES = 16
 PROBES = 10
 ROUNDS = 3
+#: Norm ranges to a doubling, with 1.0 in the middle of one.
+OCTAVE = 8
+#: Range and table of the vectors that are not hashed.
+WHOLE = -1_000_000
 BLOCK = 20_000
 QUERY_BLOCK = 4_000
 
@@ -111,11 +120,19 @@ def search(vectors: DataFrame, k: int = 20, id_col: str = "vec_id", vector_col:
     spark = vectors.sparkSession
     is_query = F.lit(True) if is_query is None else is_query
     classes = written(_classes(vectors, id_col, vector_col, k, is_query), "ann-classes")
-    shape = classes.agg(F.min(F.size("v")).alias("a"), F.max(F.size("v")).alias("b"),
-                        F.max(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)).alias("m")).first()
-    if shape["a"] != shape["b"]:
-        raise ValueError(f"vectors of {shape['a']} to {shape['b']} components")
-    dim, largest = shape["a"] or 1, shape["m"] or 1.0
+    square = F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)
+    # one row per range of norms: at most some thousand, as a double has 2048 exponents
+    ranges = classes.groupBy(F.round(F.log2(square) * (OCTAVE / 2)).alias("range")).agg(
+        F.min(F.size("v")).alias("a"), F.max(F.size("v")).alias("b"), F.max(square).alias("m"),
+        F.count("*").alias("n")).collect()
+    few, many = min((r["a"] for r in ranges), default=1), max((r["b"] for r in ranges), default=1)
+    if few != many:
+        raise ValueError(f"vectors of {few} to {many} components")
+    dim = few
+    axes_of_table = 2 * Rotations(dim + 1, 1).width
+    # squares that over- or underflow have no range
+    largest = {r["range"]: r["m"] for r in ranges
+               if r["n"] >= axes_of_table and r["range"] is not None and 0 < r["m"] < float("inf")}
 
     def hashed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rotate = Rotations(dim + 1, tables)
@@ -124,33 +141,43 @@ def search(vectors: DataFrame, k: int = 20, id_col: str = "vec_id", vector_col:
             ask = np.array(batch.column("asks").to_pylist(), bool)
             ids = batch.column("class").to_numpy()
             data = np.array([r.tobytes() for r in x], object)
-            square = (x * x).sum(axis=1)
-            lifted = np.concatenate([x, np.sqrt(np.maximum(largest - square, 0))[:, None]], axis=1)
+            at = batch.column("range").to_pylist()
+            top = np.array([largest.get(r, 0.0) for r in at])
+            dealt = top > 0
+            place = np.array([int(r) if d else WHOLE for r, d in zip(at, dealt)])
+            if not dealt.all():
+                alone = ~dealt
+                yield _rows(WHOLE, np.zeros((int(alone.sum()), 1), int), place[alone], ids[alone], data[alone], False)
+            if ask.any():
+                yield _rows(WHOLE, np.zeros((int(ask.sum()), 1), int), place[ask], ids[ask], data[ask], True)
+            y = x[dealt]
+            lifted = np.concatenate([y, np.sqrt(np.maximum(top[dealt] - (y * y).sum(axis=1), 0))[:, None]], axis=1)
             asked = np.concatenate([x[ask], np.zeros((int(ask.sum()), 1))], axis=1)
             for t, (y, z) in enumerate(zip(rotate(lifted), rotate(asked))):
-                yield _rows(t, axes(y, 1), ids, data, False)
+                if len(y):
+                    yield _rows(t, axes(y, 1), place[dealt], ids[dealt], data[dealt], False)
                 if len(z):
-                    yield _rows(t, axes(z, probes), ids[ask], data[ask], True)
+                    yield _rows(t, axes(z, probes), place[ask], ids[ask], data[ask], True)
 
-    def _rows(t: int, at: np.ndarray, ids: np.ndarray, data: np.ndarray, asks: bool) -> pa.RecordBatch:
+    def _rows(t: int, at: np.ndarray, place: np.ndarray, ids: np.ndarray, data: np.ndarray, asks: bool) -> pa.RecordBatch:
         n = at.shape[1]
         return pa.RecordBatch.from_arrays(
             [pa.array(np.full(at.size, t), pa.int32()), pa.array(at.ravel(), pa.int32()),
-             pa.array(np.repeat(ids, n)), pa.array([asks] * at.size), pa.array(np.repeat(data, n).tolist(), pa.binary())],
-            ["t", "axis", "class", "asks", "x"])
-
-    meet = written(classes.select("class", "v", (F.size("queries") > 0).alias("asks"))
-                   .mapInArrow(hashed, "t int, axis int, class bigint, asks boolean, x binary"), "ann-hashes")
-    # tables x axes rows
-    sizes = meet.groupBy("t", "axis").agg(
-        F.ceil(F.count(F.when(~F.col("asks"), 1)) / BLOCK).alias("nv"),
-        F.ceil(F.count(F.when(F.col("asks"), 1)) / QUERY_BLOCK).alias("nq")).where("nv > 0 and nq > 0")
+             pa.array(np.repeat(place, n), pa.int32()), pa.array(np.repeat(ids, n)), pa.array([asks] * at.size), pa.array(np.repeat(data, n).tolist(), pa.binary())],
+            ["t", "axis", "range", "class", "asks", "x"])
+
+    meet = written(classes.select("class", "v", (F.size("queries") > 0).alias("asks"),
+                                  F.round(F.log2(square) * (OCTAVE / 2)).alias("range"))
+                   .mapInArrow(hashed, "t int, axis int, range int, class bigint, asks boolean, x binary"), "ann-hashes")
+    # tables x axes x ranges rows; a query meets all ranges of its axis
+    sizes = (meet.where(~F.col("asks")).groupBy("t", "axis", "range").agg(F.ceil(F.count("*") / BLOCK).alias("nv"))
+             .join(meet.where("asks").groupBy("t", "axis").agg(F.ceil(F.count("*") / QUERY_BLOCK).alias("nq")), ["t", "axis"]))
     h = F.xxhash64("class")
-    placed = meet.join(sizes, ["t", "axis"])
-    one = placed.where("asks").select(
-        "t", "axis", F.pmod(h, "nq").alias("bq"), F.explode(F.sequence(F.lit(0), F.col("nv") - 1)).alias("bv"), "class", "x")
-    two = placed.where("not asks").select(
-        F.col("t").alias("t2"), F.col("axis").alias("axis2"), F.explode(F.sequence(F.lit(0), F.col("nq") - 1)).alias("bq2"),
+    one = meet.where("asks").drop("range").join(sizes, ["t", "axis"]).select(
+        "t", "axis", "range", F.pmod(h, "nq").alias("bq"), F.explode(F.sequence(F.lit(0), F.col("nv") - 1)).alias("bv"), "class", "x")
+    two = meet.where("not asks").join(sizes, ["t", "axis", "range"]).select(
+        F.col("t").alias("t2"), F.col("axis").alias("axis2"), F.col("range").alias("range2"),
+        F.explode(F.sequence(F.lit(0), F.col("nq") - 1)).alias("bq2"),
         F.pmod(h, "nv").alias("bv2"), F.col("class").alias("class2"), F.col("x").alias("x2"))
 
     def best(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -169,7 +196,7 @@ def search(vectors: DataFrame, k: int = 20, id_col: str = "vec_id", vector_col:
         return pa.Table.from_arrays([pa.array(left.column("class").to_numpy()[rows]), pa.array(ids[cols]),
                                      pa.array(s[rows, cols])], names)
 
-    found = (one.groupBy("t", "axis", "bq", "bv").cogroup(two.groupBy("t2", "axis2", "bq2", "bv2"))
+    found = (one.groupBy("t", "axis", "range", "bq", "bv").cogroup(two.groupBy("t2", "axis2", "range2", "bq2", "bv2"))
              .applyInArrow(best, "query bigint, class bigint, score double"))
     pairs = found.groupBy("query", "class").agg(F.max("score").alias("near"))
     # exact inner products of the original vectors, in component order
@@ -179,9 +206,19 @@ def search(vectors: DataFrame, k: int = 20, id_col: str = "vec_id", vector_col:
     product = F.aggregate(F.zip_with("qv", "v", lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
     full = (top.join(classes.select(F.col("class").alias("query"), F.col("v").alias("qv")), "query")
             .join(theirs, "class").select("query", product.alias("score"), "ids"))
-    each = (mine.select("query", "query_id").join(full, "query")
-            .select("query_id", F.explode("ids").alias("vec_id"), "score").where("query_id <> vec_id")
-            .groupBy("query_id", "vec_id").agg(F.max("score").alias("score")))
+    each = written(mine.select("query", "query_id").join(full, "query")
+                   .select("query_id", F.explode("ids").alias("vec_id"), "score").where("query_id <> vec_id")
+                   .groupBy("query_id", "vec_id").agg(F.max("score").alias("score")), "ann-found")
+    # a class with more than k ids holds k + 1, so this counts all ids or more than k
+    others = theirs.select(F.explode("ids").alias("i")).distinct().limit(k + 1).count() - 1
+    enough = each.groupBy("query_id").count().where(F.col("count") >= min(k, others)).select("query_id")
+    short = written(mine.select("query", "query_id").join(enough, "query_id", "left_anti"), "ann-short")
+    n_short = short.select("query").distinct().count()
+    if n_short and others > 0:
+        whole = _exact(classes, short.select("query").distinct(), n_short, k, dim)
+        again = (short.join(whole, "query").where("query_id <> vec_id")
+                 .groupBy("query_id", "vec_id").agg(F.max("score").alias("score")))
+        each = each.join(short, "query_id", "left_anti").unionByName(again)
     ordered = F.transform(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), "vec_id"))), 1, k),
                           lambda r: r)
     return (each.groupBy("query_id").agg(ordered.alias("r"))
@@ -189,6 +226,45 @@ def search(vectors: DataFrame, k: int = 20, id_col: str = "vec_id", vector_col:
             .select("query_id", (F.col("i") + 1).cast("int").alias("rank"), "r.vec_id", (-F.col("r.s")).alias("score")))
 
 
+def _exact(classes: DataFrame, short: DataFrame, n_short: int, k: int, dim: int) -> DataFrame:
+    """``query`` (class), ``vec_id``, ``score``: the k + 1 best ids of each class in ``short`` and
+    their ties, from every block of all vectors."""
+    nv = -(-classes.count() // BLOCK)
+    nq = -(-n_short // QUERY_BLOCK)
+    h = F.xxhash64("class")
+    one = (classes.join(short.select(F.col("query").alias("class")), "class")
+           .select(F.pmod(h, F.lit(nq)).alias("bq"), F.explode(F.sequence(F.lit(0), F.lit(nv - 1))).alias("bv"), "class", "v"))
+    two = classes.select(F.explode(F.sequence(F.lit(0), F.lit(nq - 1))).alias("bq2"), F.pmod(h, F.lit(nv)).alias("bv2"),
+                         F.col("v").alias("v2"), F.col("ids").alias("ids2"))
+
+    def best(left: pa.Table, right: pa.Table) -> pa.Table:
+        q, x = (c.combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
+                for c in (left.column("v"), right.column("v2")))
+        if not len(q) or not len(x):
+            return pa.table({"query": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()),
+                             "score": pa.array([], pa.float64())})
+        lists = right.column("ids2").combine_chunks()
+        ids, at = lists.flatten().to_numpy(), np.repeat(np.arange(len(x)), lists.value_lengths().to_numpy())
+        order = np.argsort(ids, kind="stable")
+        ids, at = ids[order], at[order]
+        first = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
+        out = []
+        for i, v in enumerate(q):
+            near = (x @ v)[at]
+            top = np.maximum.reduceat(near, first)  # an id with several vectors counts once
+            n = min(k + 1, len(top))
+            floor = -np.partition(-top, n - 1)[n - 1]
+            keep = np.flatnonzero(near >= floor - 1e-9 * abs(floor))
+            score = np.cumsum(x[at[keep]] * v, axis=1)[:, -1]  # in component order
+            out.append((np.full(len(keep), i), ids[keep], score))
+        rows, found, score = map(np.concatenate, zip(*out))
+        return pa.table({"query": left.column("class").to_numpy()[rows], "vec_id": found, "score": score})
+
+    return (one.groupBy("bq", "bv").cogroup(two.groupBy("bq2", "bv2"))
+            .applyInArrow(best, "query bigint, vec_id bigint, score double")
+            .groupBy("query", "vec_id").agg(F.max("score").alias("score")))
+
+
 def _top(rows: DataFrame, by: list[str], score: str, tie: str, n: int) -> DataFrame:
     """The n best rows of each key and those that tie with the last of them. A key has at most
     tables x probes groups, each with few rows, so its list is of bounded size."""

@@ -209,6 +209,47 @@ def test_ann_recall_ties_and_awkward_vectors(spark):
     assert ann.search(vectors.limit(0), k=3).collect() == []
 
 
+def test_ann_unequal_norms_and_small_tables(spark):
+    rng = np.random.default_rng(6)
+    flat = rng.normal(size=(2000, 24))
+    flat /= np.linalg.norm(flat, axis=1)[:, None]
+    long = flat.copy()
+    long[11] *= 20
+    spread = flat * rng.lognormal(size=(2000, 1))
+    for x, k, step in ((long, 20, 50), (spread, 20, 50), (flat[:10], 20, 1)):
+        rows = [(i, [float(a) for a in v]) for i, v in enumerate(x)]
+        got = ann.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), k=k, is_query=F.col("vec_id") % step == 0)
+        by, hits = {}, 0
+        for r in got.collect():
+            by.setdefault(r["query_id"], set()).add(r["vec_id"])
+        assert set(by) == set(range(0, len(x), step))
+        for q, found in by.items():
+            true = [i for i in np.argsort(-(x @ x[q]), kind="stable") if i != q][:k]
+            assert len(found) == len(true)
+            hits += len(found & set(true)) / len(true)
+        assert hits / len(by) >= (0.9 if len(x) > 10 else 1)
+
+
+def test_ann_exact_search_of_queries_left_short(spark):
+    """One table and one probe leave queries short; an id with many near vectors counts once."""
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(600, 16))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    rows = [(i, [float(a) for a in v]) for i, v in enumerate(x)]
+    rows += [(9000, [float(a) for a in x[0] * (1 + j / 1000)]) for j in range(1, 30)]
+    got = ann.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), k=40,
+                     is_query=F.col("vec_id") % 100 == 0, tables=1, probes=1)
+    by = {}
+    for r in got.where("query_id < 9000").orderBy("rank").collect():
+        by.setdefault(r["query_id"], []).append(r["vec_id"])
+    y = np.array([v for _, v in rows])
+    for q in range(0, 600, 100):
+        best = {}
+        for (i, _), s in zip(rows, y @ x[q]):
+            best[i] = max(s, best.get(i, -9))
+        assert by[q] == sorted((i for i in best if i != q), key=lambda i: (-best[i], i))[:40]
+
+
 PAGE = ("<html><head><title>T</title><script>var a='</p>';</script></head><body><!-- c --><header>H</header><nav><ul><li>m</ul></nav>"
         "<div class='ad box'>buy</div><article class=post><h1>A &amp; B</h1><p>one<br>two<p><b>three &eacute; <a href=\"x>y\">link</a>"
         "<div id=comments>nice</div><form><input>f</form><aside>s</aside><ul><li>i1<li>i2</ul></article><footer>f</footer>")
