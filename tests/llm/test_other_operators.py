@@ -292,6 +292,25 @@ def test_html_boilerplate_without_an_article(spark, monkeypatch):
     assert html_text.extract(pages.limit(0)).collect() == []
 
 
+def test_html_copies_and_rare_repeats_are_no_boilerplate(spark, monkeypatch):
+    said = "all rights reserved by the owner of this site"
+    quote = "a long passage that two pages of a big host quote from each other word by word"
+    body = lambda i: " ".join(f"w{i}x{j}" for j in range(40))
+    rows, want = [], {}
+    for i in range(40):  # copies of one page, on a host of nothing else
+        rows.append((i, "http://copies/", f"<div>Title</div><div>{body(0)}</div><nav>ad {i}</nav>"))
+        want[i] = f"Title\n\n{body(0)}"
+    for i in range(100, 130):  # a heading on every page, a passage on two; three pages twice
+        page = f"<div>Home</div><div>{body(i)}</div><div>Summary</div>" + f"<div>{quote}</div>" * (i < 102) + f"<div>x{body(i)}</div><div>{said}</div>"
+        for copy in (0, 1000)[:1 + (i < 103)]:
+            rows.append((i + copy, "http://big/", page))
+            want[i + copy] = "\n\n".join([body(i), "Summary", *[quote] * (i < 102), "x" + body(i)])
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for shard in (500_000, 400):
+        monkeypatch.setattr(html_text, "SHARD", shard)
+        assert {r["page_id"]: r["text"] for r in html_text.extract(pages).collect()} == want
+
+
 def test_run_ranks_compare_first_words():
     tokens = np.random.default_rng(2).integers(1, 4, 300).astype(np.uint64)
     rank = html_text.run_ranks(tokens)
