@@ -6,13 +6,15 @@ word the longest suffix that is a substring of an item. Where that length reache
 words), the matched words are hit; an item shorter than the window, but not empty, matches whole.
 Each state knows the items whose windows end there, so documents also report which items occur.
 
-A document is contaminated if the hit words reach a share of its words (and any are hit);
-``clean_spans`` removes the hit spans from texts.
+A document is contaminated if the hit words reach a share of its words (and any are hit).
+``decontaminated`` gives every document its hit spans and its text without them. A hit is over the length limit by
+definition (a window, or all of a shorter item), so every span goes, however much it covers; the
+coverage limit is the flag, by which a user drops whole documents.
 
 Items are read in blocks of at most ``BLOCK_WORDS`` words (a longer item is a block of its own), so
 the automaton that is broadcast and held by a task has a bounded size; documents are streamed once
-per block and the hits of several blocks are merged per document by their positions. Documents
-themselves are never shuffled with their texts.
+per block and the hits of several blocks are merged per document by their positions. Texts are
+shuffled only then, once, to meet the merged hits; a single block cleans them where they are read.
 
 Defined cases: null or wordless texts have no words and no hits; null item ids count as the id
 ``null`` in the list of items, which is otherwise sorted as strings; repeated items are separate
@@ -179,8 +181,29 @@ def item_blocks(items: DataFrame, window: int = WINDOW) -> Iterator[Automaton]:
     yield Automaton(block, window)
 
 
-def _pass(docs: DataFrame, machine: Automaton, spans: bool) -> DataFrame:
-    """Hits of one block of items, a row per document; ``spans`` keeps the hit positions."""
+def _spans(hits: list[int] | np.ndarray) -> list[dict[str, int]]:
+    """Runs of neighbouring positions (sorted): first word and the word after the last."""
+    h = np.asarray(hits, np.int64)
+    if not len(h):
+        return []
+    cut = np.flatnonzero(np.diff(h) != 1)
+    return [{"start": int(a), "end": int(b) + 1} for a, b in zip(h[np.r_[0, cut + 1]], h[np.r_[cut, len(h) - 1]])]
+
+
+def _cleaned(texts: pa.Array, hits: list) -> list[pa.Array]:
+    """Columns ``spans`` and ``text`` of a batch; texts without hits stay as they are, null too."""
+    spans = pa.array([_spans(h) for h in hits], pa.list_(pa.struct({"start": pa.int64(), "end": pa.int64()})))
+    if any(len(h) for h in hits):
+        texts = pa.array([clean_spans(t, h) if len(h) else t for t, h in zip(texts.to_pylist(), hits)], pa.string())
+    return [spans, texts]
+
+
+CLEAN = "spans array<struct<start bigint, end bigint>>, text string"
+
+
+def _pass(docs: DataFrame, machine: Automaton, clean: bool) -> DataFrame:
+    """Hits of one block of items, a row per document: ``clean`` gives spans and the text without
+    them, else ``hits`` has the positions."""
     shared = docs.sparkSession.sparkContext.broadcast(machine)
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in docs.schema if f.name != "text")
     keys = [f.name for f in docs.schema if f.name != "text"]
@@ -189,40 +212,58 @@ def _pass(docs: DataFrame, machine: Automaton, spans: bool) -> DataFrame:
         for batch in slices(batches, "text"):
             texts = [words(t) for t in utf8(batch, "text")]
             found = _hits(texts, shared.value)
+            hits = [np.flatnonzero(h) for h, _ in found]
             columns = [batch.column(k) for k in keys]
             columns += [pa.array([len(ws) for ws in texts], pa.int64()),
-                        pa.array([int(h.sum()) for h, _ in found], pa.int64()),
                         pa.array([sorted(s) for _, s in found], pa.list_(pa.string()))]
-            names = [*keys, "n_words", "n_hit", "items"]
-            if spans:
-                columns.append(pa.array([np.flatnonzero(h) for h, _ in found], pa.list_(pa.int64())))
-                names.append("hits")
-            yield pa.RecordBatch.from_arrays(columns, names)
+            if clean:
+                columns += [pa.array([len(h) for h in hits], pa.int64()), *_cleaned(batch.column("text"), hits)]
+            else:
+                columns.append(pa.array(hits, pa.list_(pa.int64())))
+            yield pa.RecordBatch.from_arrays(
+                columns, [*keys, "n_words", "items", *(["n_hit", "spans", "text"] if clean else ["hits"])])
 
-    return docs.mapInArrow(work, f"{kinds}, n_words bigint, n_hit bigint, items array<string>"
-                                 + ", hits array<bigint>" * spans)
+    return docs.mapInArrow(work, f"{kinds}, n_words bigint, items array<string>, "
+                                 + (f"n_hit bigint, {CLEAN}" if clean else "hits array<bigint>"))
 
 
-def contamination(docs: DataFrame, items: DataFrame, keys: list[str] = ["doc_id"],  # noqa: B006
-                  window: int = WINDOW, share: int = SHARE) -> DataFrame:
-    """``keys``, ``n_words``, ``n_hit``, ``items`` (sorted), ``contaminated`` for every document."""
+def decontaminated(docs: DataFrame, items: DataFrame, keys: list[str] = ["doc_id"],  # noqa: B006
+                   window: int = WINDOW, share: int = SHARE) -> DataFrame:
+    """``keys``, ``n_words``, ``n_hit``, ``items`` (sorted), ``contaminated``, ``spans`` (``start`` and ``end``
+    word of each hit span, end exclusive) and ``text`` without them, for every document."""
     small_batches(docs.sparkSession)
     docs = docs.select(*keys, F.col("text").cast("string").alias("text"))
     if _one_block(items):
-        found = _pass(docs, next(item_blocks(items, window)), spans=False)
+        found = _pass(docs, next(item_blocks(items, window)), clean=True)
     else:
         # one pass per block over numbered rows; hits of a row are merged by position
         docs = written(docs.withColumn("row", F.monotonically_increasing_id()), "numbered")
         every = None
         for machine in item_blocks(items, window):
-            hits = written(_pass(docs, machine, spans=True), "block-hits")
+            hits = written(_pass(docs, machine, clean=False).select("row", "n_words", "items", "hits"), "block-hits")
             every = hits if every is None else every.unionByName(hits)
-        found = every.groupBy("row", *keys, "n_words").agg(
-            F.array_distinct(F.flatten(F.collect_list("hits"))).alias("hits"),
+        merged = every.groupBy("row", "n_words").agg(
+            F.array_sort(F.array_distinct(F.flatten(F.collect_list("hits")))).alias("hits"),
             F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-        found = found.select(*keys, "n_words", F.size("hits").cast("bigint").alias("n_hit"), "items")
-    return found.withColumn("contaminated",
-                            (F.col("n_hit") > 0) & (F.col("n_hit") * share >= F.col("n_words")))
+        joined = docs.join(merged, "row").select(*keys, "n_words", "items", F.size("hits").cast("bigint").alias("n_hit"), "hits", "text")
+        kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in joined.schema[:-2])
+
+        def clean(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in slices(batches, "text"):
+                columns = [batch.column(i) for i in range(batch.num_columns - 2)]
+                yield pa.RecordBatch.from_arrays(
+                    [*columns, *_cleaned(batch.column("text"), batch.column("hits").to_pylist())],
+                    [*batch.schema.names[:-2], "spans", "text"])
+
+        found = joined.mapInArrow(clean, f"{kinds}, {CLEAN}")
+    return found.select(*keys, "n_words", "n_hit", "items", ((F.col("n_hit") > 0) & (F.col("n_hit") * share >= F.col("n_words")))
+                        .alias("contaminated"), "spans", "text")
+
+
+def contamination(docs: DataFrame, items: DataFrame, keys: list[str] = ["doc_id"],  # noqa: B006
+                  window: int = WINDOW, share: int = SHARE) -> DataFrame:
+    """``keys``, ``n_words``, ``n_hit``, ``items`` (sorted), ``contaminated`` for every document."""
+    return decontaminated(docs, items, keys, window, share).drop("spans", "text")
 
 
 def _one_block(items: DataFrame) -> bool:
@@ -245,7 +286,7 @@ def clean_spans(text: str, hits: list[int]) -> str:
 
 
 def report(docs: DataFrame, items: DataFrame) -> DataFrame:
-    found = contamination(docs, items)
+    found = decontaminated(docs, items)
     return found.select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
         F.sha2(F.encode(F.array_join("items", ","), "UTF-8"), 256).alias("items_sha256"), "contaminated")

@@ -93,6 +93,37 @@ def test_decontamination_is_brute_force(spark, monkeypatch, block):
     assert decontaminate.contamination(docs(spark, texts), items.limit(0)).where("n_hit > 0").count() == 0
 
 
+def brute_clean(text):
+    """Spans and the text without them, character by character."""
+    word = lambda c: ord(c) >= 128 or c.isdigit() or c.isalpha()
+    t, at = text or "", []
+    for i, c in enumerate(t):
+        if word(c):
+            at = [*at[:-1], (at[-1][0], i + 1)] if at and at[-1][1] == i else [*at, (i, i + 1)]
+    ws, hit = [t[a:b].encode().lower() for a, b in at], set()
+    for _, item in ITEMS:
+        for w in brute_windows(item):
+            hit |= {p for i in range(len(ws)) if tuple(ws[i:i + len(w)]) == w for p in range(i, i + len(w))}
+    starts, ends = sorted(p for p in hit if p - 1 not in hit), sorted(p + 1 for p in hit if p + 1 not in hit)
+    gone = {c for a, b in zip(starts, ends) for c in range(at[a][0], at[b - 1][1])}
+    return list(zip(starts, ends)), text if text is None else "".join(c for i, c in enumerate(t) if i not in gone)
+
+
+@pytest.mark.parametrize("block", [1_000_000, 25])
+def test_decontaminated_texts_are_brute_force(spark, monkeypatch, block):
+    monkeypatch.setattr(decontaminate, "BLOCK_WORDS", block)
+    q = [f"Q{i}" for i in range(40)]
+    texts = [t for t in TEXTS if len(t[1] or "") < 1000] + [
+        (30, " ".join(q)), (31, "x " + ", ".join(q[3:16]) + " y"), (32, " ".join(q[3:15])), (33, "Ä Short-Item, no; an ITEM!"),
+        (34, "A " * 14 + "b " * 50), (36, "<" + " ".join(q[25:40] + ["é"] + q[:20]) + ">")]
+    items = spark.createDataFrame([(*x, 0) for x in ITEMS], "item_id long, text string, n_hit int")
+    got = [(str(r["doc_id"]), [(s["start"], s["end"]) for s in r["spans"]], r["text"], r["n_hit"])
+           for r in decontaminate.decontaminated(docs(spark, texts), items).collect()]
+    want = [(str(d), *brute_clean(t), sum(b - a for a, b in brute_clean(t)[0])) for d, t in texts]
+    assert sorted(got, key=str) == sorted(want, key=str) and sum(bool(g[1]) for g in got) == 5
+    assert decontaminate.decontaminated(docs(spark, []), items).collect() == []
+
+
 def test_clean_spans():
     assert decontaminate.clean_spans("Keep THIS, not that one.", [2, 3]) == "Keep THIS,  one."
     assert decontaminate.clean_spans("abc", []) == "abc" and decontaminate.clean_spans("", []) == ""
