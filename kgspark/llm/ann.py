@@ -12,9 +12,10 @@ A range of fewer vectors than a table has axes is not hashed: every query meets
 Queries that end with fewer than ``k`` neighbours, or fewer than all others if there are not ``k``, are
 searched again exactly, in blocks against all vectors.
 
-Equal vectors are one class, found by a partial aggregate, which keeps the ``k + 1`` smallest ids: no
+Equal vectors are one class, which keeps the ``k + 1`` smallest ids: no
 more of them can be among a query's ``k`` nearest besides itself, as ties go to smaller ids. So a
-vector that a third of all rows share is hashed, sent and compared once, and nothing is lost.
+vector that a third of all rows share is hashed, sent and compared once, and nothing is lost. Its
+queries are rows of their own and meet the class's neighbours at the end.
 
 Index rows and probes meet by (table, axis). Buckets are cut into blocks of about ``BLOCK`` vectors and
 ``QUERY_BLOCK`` queries by hash; the number of blocks follows from the bucket's counts (tables x axes rows). Each
@@ -48,6 +49,7 @@ OCTAVE = 8
 WHOLE = -1_000_000
 BLOCK = 20_000
 QUERY_BLOCK = 4_000
+ID_SLICE = 1_000
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -92,9 +94,9 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), "<f8").reshape(-1, dim)
 
 
-def _classes(vectors: DataFrame, id_col: str, vector_col: str, k: int, is_query) -> DataFrame:
-    """Distinct usable vectors: ``class``, ``vector`` (little-endian doubles), ``ids`` (the k + 1
-    smallest), ``queries`` (ids of queries)."""
+def _classes(vectors: DataFrame, id_col: str, vector_col: str, k: int, is_query) -> tuple[DataFrame, DataFrame]:
+    """Distinct usable vectors: ``class``, ``v``, ``asks`` (has queries), ``ids`` (the k + 1 smallest);
+    and the queries: ``query`` (class), ``query_id``."""
     v = F.transform(F.col(vector_col), lambda x: x.cast("double"))
     ok = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))) \
         & F.exists("v", lambda x: x != 0)
@@ -102,16 +104,22 @@ def _classes(vectors: DataFrame, id_col: str, vector_col: str, k: int, is_query)
             .where(F.col("id").isNotNull() & F.col("v").isNotNull()).where(ok)
             # -0.0 and 0.0 are one number
             .select("id", "q", F.transform("v", lambda x: x + F.lit(0.0)).alias("v")))
-    # two steps: the first collapses rows that repeat both, the second never sees more than k + 1
-    # ids of one vector from any of its slices
-    once = rows.groupBy("v", "id").agg(F.max("q").alias("q"))
-    slices = once.groupBy("v", F.pmod(F.xxhash64("id"), F.lit(64)).alias("s")).agg(
-        F.slice(F.array_sort(F.collect_list("id")), 1, k + 1).alias("ids"),
-        F.collect_list(F.when(F.col("q"), F.col("id"))).alias("queries"))
-    return (slices.groupBy("v").agg(
-        F.slice(F.array_sort(F.flatten(F.collect_list("ids"))), 1, k + 1).alias("ids"),
-        F.flatten(F.collect_list("queries")).alias("queries"))
-        .select(F.monotonically_increasing_id().alias("class"), "v", "ids", "queries"))
+    once = written(rows.groupBy("v", "id").agg(F.max("q").alias("q")), "ann-rows")
+    named = written(once.groupBy("v").agg(F.count("*").alias("n"), F.max("q").alias("asks"))
+                    .withColumn("class", F.monotonically_increasing_id()), "ann-vectors")
+    members = written(once.join(named.select("v", "n", "class"), "v").select("class", "n", "id", "q"), "ann-members")
+    # ids are cut to k + 1 in rounds, by slices whose number follows from the class's count: a list
+    # holds about ``size`` ids, however many the class has
+    size = max(ID_SLICE, 4 * (k + 1))
+    ids, most, turn = members.select("class", "n", "id"), named.agg(F.max("n")).first()[0] or 0, 0
+    few = F.slice(F.array_sort(F.collect_list("id")), 1, k + 1)
+    while most > size:
+        cut = F.ceil(F.col("n") / size)
+        ids = (ids.groupBy("class", "n", F.pmod(F.xxhash64("id", F.lit(turn)), cut).alias("s")).agg(few.alias("f"))
+               .select("class", F.when(F.col("n") > size, cut * (k + 1)).otherwise(F.col("n")).alias("n"), F.explode("f").alias("id")))
+        most, turn = max(-(-most // size) * (k + 1), 1), turn + 1
+    classes = named.select("class", "v", "asks").join(ids.groupBy("class").agg(few.alias("ids")), "class")
+    return classes, members.where("q").select(F.col("class").alias("query"), F.col("id").alias("query_id"))
 
 
 def search(vectors: DataFrame, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding",
@@ -119,7 +127,8 @@ def search(vectors: DataFrame, k: int = 20, id_col: str = "vec_id", vector_col:
     """``query_id``, ``rank``, ``vec_id``, ``score`` of each query's k nearest found."""
     spark = vectors.sparkSession
     is_query = F.lit(True) if is_query is None else is_query
-    classes = written(_classes(vectors, id_col, vector_col, k, is_query), "ann-classes")
+    classes, mine = _classes(vectors, id_col, vector_col, k, is_query)
+    classes = written(classes, "ann-classes")
     square = F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)
     # one row per range of norms: at most some thousand, as a double has 2048 exponents
     ranges = classes.groupBy(F.round(F.log2(square) * (OCTAVE / 2)).alias("range")).agg(
@@ -166,7 +175,7 @@ def search(vectors: DataFrame, k: int = 20, id_col: str = "vec_id", vector_col:
              pa.array(np.repeat(place, n), pa.int32()), pa.array(np.repeat(ids, n)), pa.array([asks] * at.size), pa.array(np.repeat(data, n).tolist(), pa.binary())],
             ["t", "axis", "range", "class", "asks", "x"])
 
-    meet = written(classes.select("class", "v", (F.size("queries") > 0).alias("asks"),
+    meet = written(classes.select("class", "v", F.coalesce("asks", F.lit(False)).alias("asks"),
                                   F.round(F.log2(square) * (OCTAVE / 2)).alias("range"))
                    .mapInArrow(hashed, "t int, axis int, range int, class bigint, asks boolean, x binary"), "ann-hashes")
     # tables x axes x ranges rows; a query meets all ranges of its axis
@@ -200,19 +209,18 @@ def search(vectors: DataFrame, k: int = 20, id_col: str = "vec_id", vector_col:
              .applyInArrow(best, "query bigint, class bigint, score double"))
     pairs = found.groupBy("query", "class").agg(F.max("score").alias("near"))
     # exact inner products of the original vectors, in component order
-    mine = classes.select(F.col("class").alias("query"), F.col("v").alias("qv"), F.explode("queries").alias("query_id"))
     theirs = classes.select("class", "v", "ids")
     top = _top(pairs, ["query"], "near", "class", k + 1)
     product = F.aggregate(F.zip_with("qv", "v", lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
     full = (top.join(classes.select(F.col("class").alias("query"), F.col("v").alias("qv")), "query")
             .join(theirs, "class").select("query", product.alias("score"), "ids"))
-    each = written(mine.select("query", "query_id").join(full, "query")
+    each = written(mine.join(full, "query")
                    .select("query_id", F.explode("ids").alias("vec_id"), "score").where("query_id <> vec_id")
                    .groupBy("query_id", "vec_id").agg(F.max("score").alias("score")), "ann-found")
     # a class with more than k ids holds k + 1, so this counts all ids or more than k
     others = theirs.select(F.explode("ids").alias("i")).distinct().limit(k + 1).count() - 1
     enough = each.groupBy("query_id").count().where(F.col("count") >= min(k, others)).select("query_id")
-    short = written(mine.select("query", "query_id").join(enough, "query_id", "left_anti"), "ann-short")
+    short = written(mine.join(enough, "query_id", "left_anti"), "ann-short")
     n_short = short.select("query").distinct().count()
     if n_short and others > 0:
         whole = _exact(classes, short.select("query").distinct(), n_short, k, dim)

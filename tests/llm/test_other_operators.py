@@ -281,6 +281,19 @@ def test_ann_exact_search_of_queries_left_short(spark):
         assert by[q] == sorted((i for i in best if i != q), key=lambda i: (-best[i], i))[:40]
 
 
+def test_ann_classes_hold_bounded_lists(spark, monkeypatch):
+    monkeypatch.setattr(ann, "ID_SLICE", 20)
+    rows = [(i, [1.0, 2.0] if i % 3 else [float(i + 1), 1.0]) for i in range(3000)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    classes, queries = ann._classes(vectors, "vec_id", "embedding", 2, F.col("vec_id") % 2 == 0)
+    got = classes.collect()
+    assert max(len(x) for r in got for x in r if isinstance(x, list)) == 3  # vectors and the k + 1 ids, no list of queries
+    assert len(got) == 1001 and [r["ids"] for r in got if list(r["v"]) == [1.0, 2.0]] == [[1, 2, 4]]
+    shared = next(r["class"] for r in got if list(r["v"]) == [1.0, 2.0])
+    assert sorted(r["query_id"] for r in queries.where(F.col("query") == shared).collect()) == [i for i in range(0, 3000, 2) if i % 3]
+    assert queries.count() == 1500
+
+
 PAGE = ("<html><head><title>T</title><script>var a='</p>';</script></head><body><!-- c --><header>H</header><nav><ul><li>m</ul></nav>"
         "<div class='ad box'>buy</div><article class=post><h1>A &amp; B</h1><p>one<br>two<p><b>three &eacute; <a href=\"x>y\">link</a>"
         "<div id=comments>nice</div><form><input>f</form><aside>s</aside><ul><li>i1<li>i2</ul></article><footer>f</footer>")
