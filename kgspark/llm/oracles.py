@@ -57,4 +57,18 @@ SELECT dw.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit
 FROM dw LEFT JOIN pos USING (doc_id) LEFT JOIN its USING (doc_id)
 """
 
-ORACLES = {"op1_chat_format": OP1, "op7_decontaminate": OP7, "op10_warc": OP10}
+OP12 = r"""
+WITH lines AS (
+  SELECT r, i, line, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+  FROM (SELECT r, unnest(ls) AS line, unnest(range(len(ls))) AS i FROM (
+    SELECT row_number() OVER () AS r, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents))),
+often AS (SELECT k FROM lines WHERE length(k) >= 1 GROUP BY k HAVING count(DISTINCT r) >= 10),
+kept AS (SELECT r, count(*)::BIGINT AS n_lines, count(o.k)::BIGINT AS n_dropped,
+         sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (o.k IS NULL), '')) AS kept_sha256
+         FROM lines LEFT JOIN often o USING (k) GROUP BY r)
+SELECT doc_id, n_lines, n_dropped, kept_sha256
+FROM (SELECT row_number() OVER () AS r, doc_id FROM documents) JOIN kept USING (r)
+"""
+
+ORACLES = {"op1_chat_format": OP1, "op7_decontaminate": OP7, "op10_warc": OP10, "op12_line_dedup": OP12}
