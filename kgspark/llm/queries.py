@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, chat, decontaminate, html_text, jaccard, langid, lattice, line_dedup, token_files, warc
+from . import (ann, ball_search, bpe, chat, conversation_repair, decontaminate, html_text, jaccard, langid,
+               lattice, line_dedup, token_files, warc)
 from .common import crc_fold, shared_path, table
 
 
@@ -71,11 +72,20 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_report(table(spark, sf_dir, "pages"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.damaged_audits(table(spark, sf_dir, "conversations"))
+
+
 def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = line_dedup.dedup_lines(table(spark, sf_dir, "documents"), ["doc_id"], min_docs=10, min_chars=1)
     return done.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op13_ball_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ball_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_chat_format, op2_ann, op3_token_files, op4_html_text, op5_jaccard_join, op6_byte_bpe, op7_decontaminate, op8_language,
-    op9_lattice, op10_warc, op12_line_dedup)}
+    op9_lattice, op10_warc, op11_conversation_repair, op12_line_dedup,
+    op13_ball_search)}
