@@ -8,12 +8,12 @@ never gathered into one row except for the summary prompt of a key that needs it
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import ModelConfig
 from ..functions import prompts as P
-from ..functions.text import composite_key, normalize_name, numbered_lines, stable_id
+from ..functions.text import composite_key, error_prefix, normalize_name, numbered_lines, stable_id
 from ..schemas import SUMMARY_PAYLOAD
 from . import model as M
 
@@ -21,61 +21,157 @@ ENTITY_KEY = ["title", "type"]
 REL_KEY = ["source", "target"]
 
 
+def _type(v: Column) -> Column:
+    """Type name of a VARIANT (``VOID`` for a JSON null); NULL where the field is missing."""
+    return F.schema_of_variant(v)
+
+
+def _name(v: Column) -> Column:
+    """a name as the model must give it; a missing one is blank."""
+    return normalize_name(F.coalesce(F.try_variant_get(v, "$", "string"), F.lit("")))
+
+
+def _odd_name(v: Column, field: str) -> Column:
+    return F.when(v.isNotNull() & (_type(v) != "STRING"), F.lit(f"{field} not a string"))
+
+
+def _entries(kind: str, field: str) -> Column:
+    """The elements of one array of a payload as (kind, pos, element); a container that is no array is one
+    entry at position -1, a missing one is none."""
+    whole = F.try_variant_get(F.col("json"), f"$.{field}", "variant")
+    items = F.try_variant_get(F.col("json"), f"$.{field}", "array<variant>")
+    entry = lambda e, i: F.struct(F.lit(kind).alias("kind"), i.cast("int").alias("pos"), e.alias("e"))
+    return (F.when(items.isNotNull(), F.transform(items, entry))
+            .when(whole.isNotNull(), F.array(entry(whole, F.lit(-1))))
+            .otherwise(F.array().cast("array<struct<kind: string, pos: int, e: variant>>")))
+
+
+def _weight(v: Column) -> tuple[Column, Column]:
+    """a weight and why it is not usable: numbers, booleans and numeric texts are taken, missing and null are 1.0."""
+    kind = _type(v)
+    text = F.regexp_replace(F.try_variant_get(v, "$", "string"), r"^\s+|\s+$", "")
+    number = (F.when(v.isNull() | (kind == "VOID"), F.lit(1.0))
+              .when(kind == "STRING", F.when(text.rlike(NUMBER_TEXT), text.try_cast("double"))
+                    .when(text.rlike(NOT_FINITE_TEXT), F.lit(float("inf"))))
+              .when(kind == "BOOLEAN", F.try_variant_get(v, "$", "boolean").cast("double"))
+              .otherwise(F.try_variant_get(v, "$", "double")))
+    reason = (F.when(number.isNull(), F.lit("weight not a number"))
+              .when(F.isnan(number) | (F.abs(number) == float("inf")), F.lit("weight not finite")))
+    return number, reason
+
+
+#: Texts that count as numbers, and those that name a value that is not finite (fixed values).
+NUMBER_TEXT = r"^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?$"
+NOT_FINITE_TEXT = r"(?i)^[+-]?(nan|inf|infinity)$"
+
+
+def elements(parsed: DataFrame) -> DataFrame:
+    """One row per element of a usable payload, good or not.
+
+    ``document_id``, ``kind`` (entity or relationship), ``pos`` (-1: the container itself), ``reason``, the element's
+    columns, ``text_prefix`` of an element that is not usable. An element is judged on its own: a malformed one is
+    quarantined with its ``reason`` and takes no other with it. A blank name or endpoint is no fault; such rows have
+    no reason and are left out of the mentions (P4, P5). Each payload is parsed once for both kinds.
+    """
+    field = lambda name: F.try_variant_get(F.col("e"), f"$.{name}", "variant")
+    rows = (parsed.where(F.col("reason").isNull())
+            .select("document_id", F.inline(F.concat(_entries("entity", "entities"),
+                                                     _entries("relationship", "relationships"))))
+            .select("document_id", "kind", "pos", "e", *[field(n).alias(f"v_{n}") for n in
+                    ("name", "type", "source", "target", "description", "weight")]))
+    is_entity = F.col("kind") == "entity"
+    weight, odd_weight = _weight(F.col("v_weight"))
+    reason = (F.when(F.col("pos") < 0, F.concat(F.when(is_entity, F.lit("entities")).otherwise(F.lit("relationships")),
+                                                F.lit(" not an array")))
+              .when(~F.startswith(_type(F.col("e")), F.lit("OBJECT")), F.lit("not an object"))
+              .when(is_entity, F.coalesce(_odd_name(F.col("v_name"), "name"), _odd_name(F.col("v_type"), "type")))
+              .otherwise(F.coalesce(_odd_name(F.col("v_source"), "source"), _odd_name(F.col("v_target"), "target"), odd_weight)))
+    described = _type(F.col("v_description"))
+    rows = rows.withColumn("reason", reason)
+    good = F.col("reason").isNull()
+    of = lambda kind, c: F.when(good & (F.col("kind") == kind), c)
+    return rows.select(
+        "document_id", "kind", "pos", "reason",
+        of("entity", _name(F.col("v_name"))).alias("title"),
+        of("entity", F.when(F.col("v_type").isNull(), F.lit("CONCEPT")).otherwise(_name(F.col("v_type")))).alias("type"),
+        of("relationship", _name(F.col("v_source"))).alias("source"),
+        of("relationship", _name(F.col("v_target"))).alias("target"),
+        F.when(good, F.when(F.col("v_description").isNull() | (described == "VOID"), F.lit(""))
+               .when(described == "STRING", F.try_variant_get(F.col("v_description"), "$", "string"))
+               .otherwise(F.to_json(F.col("v_description")))).alias("description"),
+        of("relationship", weight).alias("weight"),
+        F.when(~good, error_prefix(F.to_json(F.col("e")))).alias("text_prefix"))
+
+
+def _usable(rows: DataFrame, kind: str) -> DataFrame:
+    found = rows if "kind" in rows.columns else elements(rows)
+    return found.where((F.col("kind") == kind) & F.col("reason").isNull())
+
+
 def entity_mentions(parsed: DataFrame) -> DataFrame:
-    """One row per extracted entity, position kept for ordering."""
-    ents = parsed.where(F.col("reason").isNull()).select(
-        "document_id",
-        F.posexplode(F.coalesce(F.col("payload.entities"), F.array())).alias("pos", "e"))
-    return ents.select(
-        "document_id", "pos",
-        normalize_name(F.coalesce(F.col("e.name"), F.lit(""))).alias("title"),
-        normalize_name(F.coalesce(F.col("e.type"), F.lit("CONCEPT"))).alias("type"),
-        F.coalesce(F.col("e.description"), F.lit("")).alias("description"),
-    ).where(F.col("title") != "")
+    """The usable entities of ``elements`` (or of parsed results), position kept for ordering."""
+    return _usable(parsed, "entity").where(F.col("title") != "").select(
+        "document_id", "pos", "title", "type", "description")
 
 
 def relationship_mentions(parsed: DataFrame) -> DataFrame:
-    """One row per extracted relationship; weight missing/NULL -> 1.0."""
-    rels = parsed.where(F.col("reason").isNull()).select(
-        "document_id",
-        F.posexplode(F.coalesce(F.col("payload.relationships"), F.array())).alias("pos", "r"))
-    return rels.select(
-        "document_id", "pos",
-        normalize_name(F.coalesce(F.col("r.source"), F.lit(""))).alias("source"),
-        normalize_name(F.coalesce(F.col("r.target"), F.lit(""))).alias("target"),
-        F.coalesce(F.col("r.description"), F.lit("")).alias("description"),
-        F.coalesce(F.col("r.weight").try_cast("double"), F.lit(1.0)).alias("weight"),
-    ).where((F.col("source") != "") & (F.col("target") != ""))
-
-
-def _merge(mentions: DataFrame, key: list[str], with_weight: bool) -> DataFrame:
-    per_doc = [F.count(F.lit(1)).alias("n"),
-               F.min_by("description", F.col("pos")).alias("first_description"),
-               F.min("pos").alias("first_pos")]
-    if with_weight:
-        # weights summed as integer nano-units: exact, so the mean does not depend
-        # on the order in which partitions add up (A4)
-        per_doc += [F.sum(F.round(F.col("weight") * 1e9).cast("bigint")).alias("w_sum")]
-    by_doc = mentions.groupBy(*key, "document_id").agg(*per_doc)
-    final = [F.sum("n").cast("bigint").alias("n_descriptions"),
-             F.min_by("first_description", F.struct("document_id", "first_pos"))
-             .alias("first_description"),
-             F.array_sort(F.collect_list("document_id")).alias("document_ids")]
-    if with_weight:
-        # A4: mean of all weights (duplicates counted), 1.0 when there are none
-        final += [F.coalesce(F.sum("w_sum").cast("double") / F.sum("n") / F.lit(1e9),
-                             F.lit(1.0)).alias("weight")]
-    return by_doc.groupBy(*key).agg(*final)
+    """P5: the usable relationships of ``elements`` (or of parsed results)."""
+    return _usable(parsed, "relationship").where((F.col("source") != "") & (F.col("target") != "")).select(
+        "document_id", "pos", "source", "target", "description", "weight")
+
+
+def element_quarantine(rows: DataFrame) -> DataFrame:
+    """Q11: the elements that are not usable, in the columns of ``model.quarantine``."""
+    return rows.where(F.col("reason").isNotNull()).select(
+        "document_id", F.concat_ws(" ", "kind", "pos").alias("part"), "reason", "text_prefix")
+
+
+def _merge(mentions: DataFrame, key: list[str]) -> DataFrame:
+    by_doc = mentions.groupBy(*key, "document_id").agg(
+        F.count(F.lit(1)).alias("n"), F.min_by("description", F.col("pos")).alias("first_description"),
+        F.min("pos").alias("first_pos"))
+    return by_doc.groupBy(*key).agg(
+        F.sum("n").cast("bigint").alias("n_descriptions"),
+        F.min_by("first_description", F.struct("document_id", "first_pos")).alias("first_description"),
+        F.array_sort(F.collect_list("document_id")).alias("document_ids"))
+
+
+#: Binary digits of weights that share one integer sum; a double has 53, so terms stay below 2^63.
+LIMB = 8
+
+
+def _times_two_to(c: Column, n: Column) -> Column:
+    """``c * 2^n`` in two steps, as 2^n alone may leave the range of doubles."""
+    half = F.floor(n / 2)
+    return c * F.pow(F.lit(2.0), half) * F.pow(F.lit(2.0), n - half)
+
+
+def mean_weights(mentions: DataFrame, key: list[str]) -> DataFrame:
+    """A4: mean weight per key over the whole range of finite doubles, whatever the order of rows.
+
+    A weight is an integer times a power of two. Weights whose exponents share ``LIMB`` digits are summed as integers,
+    exactly, one row per key and such limb (262 at most, one or two in practice); the limbs of a key are then
+    added from the largest down. Both groupings end on the key, as the merge does, so their join needs no shuffle.
+    """
+    w = F.col("weight")
+    limb = F.when(w == 0, F.lit(0)).otherwise(F.floor(F.log2(F.abs(w)) / LIMB)).cast("int")
+    units = _times_two_to(w, F.lit(53) - F.col("limb") * LIMB).cast("bigint").cast("decimal(28,0)")
+    sums = (mentions.withColumn("limb", limb).withColumn("units", units).groupBy(*key, "limb")
+            .agg(F.sum("units").alias("units"), F.count(F.lit(1)).alias("n")))
+    per_key = sums.groupBy(*key).agg(F.sum("n").alias("n"), F.sort_array(
+        F.collect_list(F.struct("limb", "units")), asc=False).alias("limbs"))
+    share = F.transform("limbs", lambda x: _times_two_to(x["units"].cast("double") / F.col("n"), x["limb"] * LIMB - F.lit(53)))
+    return per_key.select(*key, F.aggregate(share, F.lit(0.0), lambda a, x: a + x).alias("weight"))
 
 
 def merge_entities(mentions: DataFrame) -> DataFrame:
     """(title, type) -> n_descriptions, first_description, document_ids."""
-    return _merge(mentions, ENTITY_KEY, with_weight=False)
+    return _merge(mentions, ENTITY_KEY)
 
 
 def merge_relationships(mentions: DataFrame) -> DataFrame:
     """Ordered (source, target) -> counts, first description, mean weight."""
-    return _merge(mentions, REL_KEY, with_weight=True)
+    return _merge(mentions, REL_KEY).join(mean_weights(mentions, REL_KEY), REL_KEY)
 
 
 # ---------------------------------------------------------------- M5 summarisation

@@ -294,13 +294,15 @@ def parse_results(results: DataFrame, key_cols: Sequence[str],
     ``reason`` is NULL for usable rows; otherwise one of ``status`` (P7: a truthy
     status wins over any response), ``no text``, ``invalid json``, ``empty`` (P3),
     ``not an object`` (Q11: the reference would abort). ``payload`` is the parsed
-    struct for usable rows only.
+    struct for usable rows only; ``json`` is the whole text as a VARIANT, whatever its shape (of repeated
+    keys the last counts), from which ``extract.elements`` reads it element by element.
     """
+    results.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     status_bad = F.coalesce(F.col("status"), F.lit("")) != ""
     text = F.when(status_bad, F.lit(None).cast("string")).otherwise(response_text("response"))
     df = results.select(*key_cols, F.when(status_bad, F.col("status")).alias("status"),
-                        text.alias("response_text"))
-    valid = F.try_parse_json("response_text").isNotNull()
+                        text.alias("response_text")).withColumn("json", F.try_parse_json("response_text"))
+    valid = F.col("json").isNotNull()
     reason = (F.when(F.col("status").isNotNull(), F.lit("status"))
               .when(F.col("response_text").isNull() | (F.col("response_text") == ""),
                     F.lit("no text"))

@@ -17,6 +17,7 @@ from ..operators import extract as X
 from ..operators import graph as G
 from ..operators import model as M
 from ..schemas import EXTRACTION_PAYLOAD
+from ..session import cut_lineage
 from ..sources.driver import read_source
 
 
@@ -25,6 +26,7 @@ class Extraction:
     documents: DataFrame
     results: DataFrame
     parsed: DataFrame
+    elements: DataFrame
     entity_mentions: DataFrame
     relationship_mentions: DataFrame
     entities_merged: DataFrame
@@ -47,12 +49,14 @@ def extract_graph(documents: DataFrame, backend=None, cfg: ModelConfig | None =
     res = M.call_model(req, backend, ["document_id"], store,
                        "extraction_results" if store is not None else None)
     parsed = M.parse_results(res, ["document_id"], EXTRACTION_PAYLOAD)
-    em, rm = X.entity_mentions(parsed), X.relationship_mentions(parsed)
+    # elements feed the merges, the summary prompts and the quarantine: parsed once, reused
+    found = X.elements(parsed)
     if store is not None:
-        # mentions feed both the merges and the summary prompts: parse once, reuse
-        store.write(em, "entity_mentions")
-        store.write(rm, "relationship_mentions")
-        em, rm = store.read("entity_mentions"), store.read("relationship_mentions")
+        store.write(found, "extraction_elements")
+        found = store.read("extraction_elements")
+    else:
+        found = cut_lineage(found)
+    em, rm = X.entity_mentions(found), X.relationship_mentions(found)
     ent, rel = X.merge_entities(em), X.merge_relationships(rm)
     sreq = X.summary_requests(em, ent, rm, rel, cfg)
     if store is not None:
@@ -61,7 +65,7 @@ def extract_graph(documents: DataFrame, backend=None, cfg: ModelConfig | None =
     sres = M.call_model(sreq, backend, X.SUMMARY_KEYS, store,
                         "summarization_results" if store is not None else None)
     summ = X.parse_summaries(sres)
-    return Extraction(documents, res, parsed, em, rm, ent, rel, sreq, sres, summ,
+    return Extraction(documents, res, parsed, found, em, rm, ent, rel, sreq, sres, summ,
                       X.entities_raw(ent, summ), X.relationships_raw(rel, summ))
 
 

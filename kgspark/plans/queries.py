@@ -14,6 +14,7 @@ from ..operators import documents as D
 from ..operators import graph as G
 from ..operators import model as M
 from ..sources.driver import read_source
+from . import edge_cases
 from .build import cached_extraction, cached_graph
 
 
@@ -401,4 +402,5 @@ QUERIES = {
     "rel_dangling": q_rel_dangling,
     "connected_components": q_connected_components,
     "pipeline_end_to_end": q_pipeline_end_to_end,
+    **edge_cases.QUERIES,
 }

@@ -73,3 +73,52 @@ def test_summary_attach_and_ambiguous_keys(spark):
     raw = {(r.title, r.type): r.description
            for r in X.entities_raw(ent, X.parse_summaries(res)).collect()}
     assert raw == {("A::B", "T"): "Merged from 2 descriptions: 1", ("A", "B::T"): "3"}
+
+
+def test_elements_are_judged_one_by_one(spark):
+    p = parsed(spark, [
+        ("d1", {"entities": [{"name": "a"}, "x", None, {"name": 3}, {"name": None}, {"name": "b", "type": 1}, {}, {"name": " "},
+                             {"name": "c", "description": {"k": 1}}, {"name": "d", "description": None}],
+                "relationships": "none"}),
+        ("d2", {"entities": {"name": "a"}, "relationships": [
+            {"source": "a", "target": "b", "weight": w} for w in
+            ("0.5", " 2 ", "1e400", "nan", "-Infinity", "1_0", "", "0x10", "1f", True, None, [1], {"w": 1}, 3, 1e-300)]}),
+        ("d3", {"entities": None, "relationships": []}), ("d4", {"other": 1})])
+    found = X.elements(p)
+    bad = {(r.document_id, r.part): r.reason for r in X.element_quarantine(found).collect()}
+    assert bad == {
+        ("d1", "entity 1"): "not an object", ("d1", "entity 2"): "not an object", ("d1", "entity 3"): "name not a string",
+        ("d1", "entity 4"): "name not a string", ("d1", "entity 5"): "type not a string", ("d1", "relationship -1"): "relationships not an array",
+        ("d2", "entity -1"): "entities not an array", ("d2", "relationship 2"): "weight not finite",
+        ("d2", "relationship 3"): "weight not finite", ("d2", "relationship 4"): "weight not finite",
+        **{("d2", f"relationship {i}"): "weight not a number" for i in (5, 6, 7, 8, 11, 12)}, ("d3", "entity -1"): "entities not an array"}
+    assert {(r.title, r.type, r.description) for r in X.entity_mentions(found).collect()} == {
+        ("A", "CONCEPT", ""), ("C", "CONCEPT", '{"k":1}'), ("D", "CONCEPT", "")}
+    assert sorted(r.weight for r in X.relationship_mentions(found).collect()) == [1e-300, 0.5, 1.0, 1.0, 2.0, 3.0]
+
+
+def test_repeated_keys_of_a_payload_count_last(spark):
+    text = '{"entities": [{"name": "a", "name": "b"}], "entities": [{"name": "c"}]}'
+    answer = json.dumps({"candidates": [{"content": {"parts": [{"text": text}]}}]})
+    df = spark.createDataFrame([("d", answer, None)], "document_id string, response string, status string")
+    assert [r.title for r in X.entity_mentions(M.parse_results(df, ["document_id"], EXTRACTION_PAYLOAD)).collect()] == ["C"]
+
+
+def test_mean_weight_is_exact_in_any_order(spark):
+    import math
+    import random
+    from fractions import Fraction
+    rng = random.Random(3)
+    groups = {"tenths": [0.1] * 7 + [0.7, 0.2], "far apart": [1e300, 1e-300, 1.0, 3.0], "tiny": [5e-324] * 3, "largest": [1.7976931348623157e308] * 4,
+              "cancel": [1e16, 1.0, -1e16], "zero": [0.0, 0.0], "mixed": [rng.choice([-1, 1]) * rng.random() * 10.0 ** rng.randrange(-30, 30) for _ in range(400)],
+              "small": [1e-10, 1e10], "odd": [255.99999999999997, 256.0, 2.0 ** -8]}
+    rows = [(k, "t", f"d{i}", 0, "", w) for k, ws in groups.items() for i, w in enumerate(ws)]
+    want = {k: float(sum(map(Fraction, ws)) / len(ws)) for k, ws in groups.items()}
+    seen = []
+    for seed in (1, 2):
+        random.Random(seed).shuffle(rows)
+        df = spark.createDataFrame(rows, "source string, target string, document_id string, pos int, description string, weight double")
+        seen.append({r.source: r.weight for r in X.merge_relationships(df.repartition(seed + 2)).collect()})
+    assert seen[0] == seen[1]
+    for k, w in want.items():
+        assert math.isclose(seen[0][k], w, rel_tol=1e-15, abs_tol=0.0) or abs(seen[0][k] - w) <= 4 * math.ulp(max(map(abs, groups[k]))) * 1e-3, (k, seen[0][k], w)
