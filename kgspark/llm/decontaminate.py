@@ -232,7 +232,8 @@ def decontaminated(docs: DataFrame, items: DataFrame, keys: list[str] = ["doc_id
     """``keys``, ``n_words``, ``n_hit``, ``items`` (sorted), ``contaminated``, ``spans`` (``start`` and ``end``
     word of each hit span, end exclusive) and ``text`` without them, for every document."""
     small_batches(docs.sparkSession)
-    docs = docs.select(*keys, F.col("text").cast("string").alias("text"))
+    # keys travel in one column, so none of their names can clash with the operator's
+    docs = docs.select(F.struct(*keys).alias("packed"), F.col("text").cast("string").alias("text"))
     if _one_block(items):
         found = _pass(docs, next(item_blocks(items, window)), clean=True)
     else:
@@ -245,7 +246,7 @@ def decontaminated(docs: DataFrame, items: DataFrame, keys: list[str] = ["doc_id
         merged = every.groupBy("row", "n_words").agg(
             F.array_sort(F.array_distinct(F.flatten(F.collect_list("hits")))).alias("hits"),
             F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-        joined = docs.join(merged, "row").select(*keys, "n_words", "items", F.size("hits").cast("bigint").alias("n_hit"), "hits", "text")
+        joined = docs.join(merged, "row").select("packed", "n_words", "items", F.size("hits").cast("bigint").alias("n_hit"), "hits", "text")
         kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in joined.schema[:-2])
 
         def clean(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -256,7 +257,7 @@ def decontaminated(docs: DataFrame, items: DataFrame, keys: list[str] = ["doc_id
                     [*batch.schema.names[:-2], "spans", "text"])
 
         found = joined.mapInArrow(clean, f"{kinds}, {CLEAN}")
-    return found.select(*keys, "n_words", "n_hit", "items", ((F.col("n_hit") > 0) & (F.col("n_hit") * share >= F.col("n_words")))
+    return found.select(*[F.col("packed")[k].alias(k) for k in keys], "n_words", "n_hit", "items", ((F.col("n_hit") > 0) & (F.col("n_hit") * share >= F.col("n_words")))
                         .alias("contaminated"), "spans", "text")
 
 

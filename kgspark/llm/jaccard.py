@@ -327,12 +327,14 @@ def one_of_each(docs: DataFrame, n: int = N_GRAM) -> DataFrame:
     rows); all columns stay."""
     names = docs.columns
     kept = near_duplicates(docs, n).where("keep").select(F.col("doc_id").alias("_d"), F.col("h").alias("_h"))
-    hashed = docs.withColumn("_x", F.xxhash64(F.col("text").cast("string"))) \
-        .join(kept, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_x") == F.col("_h")))
+    # numbered columns: no name of the table can clash with those of the join
+    plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    doc, text = F.col(f"c{names.index('doc_id')}"), F.col(f"c{names.index('text')}").cast("string")
+    hashed = plain.withColumn("_x", F.xxhash64(text)).join(kept, doc.eqNullSafe(F.col("_d")) & (F.col("_x") == F.col("_h")))
     # rows that repeat id and text are the only ones that a kept pair can match more than once
-    repeated = written(docs.select(F.col("doc_id").alias("_rd"), F.xxhash64(F.col("text").cast("string")).alias("_rh"))
+    repeated = written(plain.select(doc.alias("_rd"), F.xxhash64(text).alias("_rh"))
                        .groupBy("_rd", "_rh").count().where("count > 1").drop("count"), "repeated")
-    again = F.col("doc_id").eqNullSafe(F.col("_rd")) & (F.col("_x") == F.col("_rh"))
-    single = hashed.join(repeated, again, "left_anti").select(*names)
-    several = hashed.join(repeated, again, "left_semi").dropDuplicates(["_d", "_h"]).select(*names)
-    return single.unionByName(several)
+    again = doc.eqNullSafe(F.col("_rd")) & (F.col("_x") == F.col("_rh"))
+    single = hashed.join(repeated, again, "left_anti").select(*plain.columns)
+    several = hashed.join(repeated, again, "left_semi").dropDuplicates(["_d", "_h"]).select(*plain.columns)
+    return single.unionByName(several).toDF(*names)

@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import small_batches, slices
 
@@ -55,8 +56,10 @@ _SCRIPTS = np.array([s for _, s in RANGES], np.int8)
 SCRIPTS = 18
 #: Most words whose scores a Python worker remembers, and that training holds before counting them.
 MOST_WORDS = 300_000
+#: Words whose n-grams are looked up at once.
+STEP_WORDS = 40_000
 #: Words labelled side by side.
-GROUP_WORDS = 2_500_000
+GROUP_WORDS = 1_500_000
 #: Multipliers of the n-gram hash, one per position (odd 64-bit constants of a generator).
 _MULTIPLY = np.random.default_rng(11).integers(1, 1 << 62, MAX_GRAM, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -141,12 +144,13 @@ def train(docs: DataFrame) -> Model:
         held: dict[str, Counter] = {}
 
         def add(lang: str) -> None:
-            words = Words(list(held[lang]))
-            times = np.fromiter(held[lang].values(), np.int64)
-            at, bucket = words.grams()
+            every, counts = list(held[lang]), np.fromiter(held[lang].values(), np.int64)
             table = tables.setdefault(lang, np.zeros(BUCKETS + SCRIPTS, np.int64))
-            table[:BUCKETS] += np.bincount(bucket, times[at], BUCKETS).astype(np.int64)
-            table[BUCKETS:] += np.bincount(words.script, times * words.letters, SCRIPTS).astype(np.int64)
+            for i in range(0, len(every), STEP_WORDS):
+                words, times = Words(every[i:i + STEP_WORDS]), counts[i:i + STEP_WORDS]
+                at, bucket = words.grams()
+                table[:BUCKETS] += np.bincount(bucket, times[at], BUCKETS).astype(np.int64)
+                table[BUCKETS:] += np.bincount(words.script, times * words.letters, SCRIPTS).astype(np.int64)
             held[lang].clear()
 
         for batch in slices(batches, "text"):
@@ -198,7 +202,7 @@ def viterbi(scores: np.ndarray, counts: np.ndarray, switch: float = SWITCH) -> n
         back[at] = np.where(jump, top[:, None], own)
         here = np.where(jump, peak, here) + scores[at]
         best[:k] = here - here.max(axis=1, keepdims=True)
-    labels = np.zeros(len(scores), np.int64)
+    labels = np.zeros(len(scores), np.int16)
     state = best.argmax(axis=1) if len(order) else np.zeros(0, np.int64)
     for t in range(steps - 1, -1, -1):
         k = active[t]
@@ -218,7 +222,7 @@ class Scores:
     def _clear(self) -> None:
         self.index: dict[str, int] = {}
         self.scores = np.zeros((0, len(self.model.langs)), np.float32)
-        self.letters = np.zeros(0, np.int64)
+        self.letters = np.zeros(0, np.int32)
 
     def of(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
         """Rows for all words of all texts, one after the other."""
@@ -228,30 +232,32 @@ class Scores:
             new = list(dict.fromkeys(chain.from_iterable(texts)))
         if new:
             self.index.update(zip(new, range(len(self.index), len(self.index) + len(new))))
-            words = Words(new)
-            self.scores = np.concatenate([self.scores, self.model.scores(words)])
-            self.letters = np.concatenate([self.letters, words.letters])
+            for i in range(0, len(new), STEP_WORDS):
+                words = Words(new[i:i + STEP_WORDS])
+                self.scores = np.concatenate([self.scores, self.model.scores(words)])
+                self.letters = np.concatenate([self.letters, words.letters.astype(np.int32)])
         at = np.fromiter(map(self.index.__getitem__, chain.from_iterable(texts)), np.int64)
         return self.scores[at], self.letters[at]
 
 
 def _labelled(group: list[tuple], model: Model, spans: bool) -> pa.RecordBatch:
     """Labels of a group of batches, as one batch in the same order."""
-    rest, counts, by_word, letters, few = zip(*group)
-    counts, by_word, letters, few = map(np.concatenate, (counts, by_word, letters, few))
+    rest = [g[0] for g in group]
+    counts, by_word, letters, few = (np.concatenate([g[i] for g in group]) for i in range(1, 5))
+    group.clear()
     n_docs, n_lang = len(counts), len(model.langs)
     pred, score, runs = [UNDETERMINED] * n_docs, np.zeros(n_docs), [[] for _ in range(n_docs)]
     if n_lang:
         labels = viterbi(by_word, counts)
-        doc = np.repeat(np.arange(n_docs), counts)
-        share = np.bincount(doc * n_lang + labels, letters, n_docs * n_lang).reshape(n_docs, n_lang)
+        doc = np.repeat(np.arange(n_docs, dtype=np.int32), counts)
+        share = np.bincount(doc.astype(np.int64) * n_lang + labels, letters, n_docs * n_lang).reshape(n_docs, n_lang)
         total, top = share.sum(axis=1), share.argmax(axis=1)
         # posterior of the document's language over the words of its own spans; words of one
         # text are far from independent, hence the root
         mine = labels == top[doc]
-        finite = np.maximum(by_word[mine], -50.0)
         n = np.sqrt(np.maximum(np.bincount(doc[mine], minlength=n_docs), 1))
-        mean = np.stack([np.bincount(doc[mine], finite[:, k], n_docs) / n for k in range(n_lang)], axis=1)
+        mean = np.stack([np.bincount(doc[mine], np.maximum(by_word[mine, k], -50.0), n_docs) / n
+                         for k in range(n_lang)], axis=1)
         posterior = np.exp(mean - mean.max(axis=1, keepdims=True))
         posterior /= posterior.sum(axis=1, keepdims=True)
         every = np.arange(n_docs)
@@ -279,10 +285,15 @@ SPANS = pa.list_(pa.struct([("lang", pa.string()), ("first", pa.int64()), ("word
 def label(docs: DataFrame, model: Model, keys: list[str] = ["doc_id"],  # noqa: B006
           spans: bool = False) -> DataFrame:
     """``keys``, ``lang_pred``, ``score`` of every row; with ``spans`` also the labelled spans,
-    as (lang, first word, words) where words stand between white space."""
+    as (lang, first word, words) where words stand between white space. ``text`` may be a key."""
     small_batches(docs.sparkSession)
-    rows = docs.select(*keys, F.col("text").cast("string").alias("text"))
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema if f.name != "text")
+    # keys travel in one column, so none of their names can clash with the operator's
+    packed = F.struct(*([F.col(k) for k in keys if k != "text"] or [F.lit(0)]))
+    rows = docs.select(packed.alias("packed"), F.col("text").cast("string").alias("text"))
+    passed = ["packed", *["text"] * ("text" in keys)]
+    schema = T.StructType([rows.schema[c] for c in passed]).add("lang_pred", "string").add("score", "double")
+    if spans:
+        schema = schema.add("spans", T.ArrayType(T.StructType().add("lang", "string").add("first", "long").add("words", "long")))
     shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS x languages
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -294,7 +305,7 @@ def label(docs: DataFrame, model: Model, keys: list[str] = ["doc_id"],  # noqa:
             by_word, letters = known.of(texts)
             none = np.bincount(np.repeat(np.arange(len(counts)), counts), letters, len(counts)) == 0
             few = [bool(k) and not any(map(str.isalpha, chain.from_iterable(ws))) for ws, k in zip(texts, none)]
-            rest = batch.select(keys)
+            rest = batch.select(passed)
             group.append((rest, counts, by_word, letters, np.array(few, bool)))
             size += len(letters)
             if size >= GROUP_WORDS:
@@ -303,5 +314,6 @@ def label(docs: DataFrame, model: Model, keys: list[str] = ["doc_id"],  # noqa:
         if group:
             yield _labelled(group, model, spans)
 
-    return rows.mapInArrow(work, f"{kinds}, lang_pred string, score double"
-                           + ", spans array<struct<lang: string, first: bigint, words: bigint>>" * spans)
+    found = rows.mapInArrow(work, schema)
+    return found.select(*[F.col("text") if k == "text" else F.col("packed")[k].alias(k) for k in keys],
+                        "lang_pred", "score", *["spans"] * spans)

@@ -45,3 +45,34 @@ def test_stages_against_brute_force(spark):
 
 def test_run_reads_the_documents(spark):
     assert corpus_pipeline.run(spark, SF).count() > 100
+
+
+AWKWARD = ("score double, _text string, lang_pred string, n_words int, items string, row int, h int, packed string, "
+           "c0 int, _d int, _x int, others string, whole string, contaminated boolean, ids string")
+
+
+def test_stages_hand_on_any_columns_nulls_and_repeated_rows(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(60)
+    rows = [tuple(r) for r in docs.collect()]
+    odd = [(10 ** 6, None, "en", "s", 0), (10 ** 6 + 1, "", "en", "s", 0), (None, rows[0][1], None, None, None), (None, rows[0][1], None, None, None),
+           (10 ** 6 + 2, "the and of " * 40_000, None, "long", 1)]
+    extra = (0.5, "t", "x", 1, "i", 2, 3, "p", 4, 5, 6, "o", "w", True, "z")
+    schema = docs.schema.simpleString()[7:-1].replace(":", " ").replace(",", ", ")
+    table = spark.createDataFrame([(*r, *extra) for r in rows + odd], f"{schema}, {AWKWARD}")
+    for name, stage in corpus_pipeline.STAGES:
+        found = stage(spark, table, SF)
+        got = found.collect()
+        assert stage(spark, table.limit(0), SF).collect() == []
+        if name == "encoding":
+            assert len(got) == len(rows) + len(odd) and sum(r["n_tokens"] == 0 for r in got) >= 2
+            continue
+        assert found.columns == table.columns and {tuple(r)[len(docs.columns):] for r in got} == {extra}
+        whole = {(*r, *extra) for r in rows + odd}
+        assert {tuple(r) for r in got} <= whole
+        kept = [r["doc_id"] for r in got]
+        if name == "language":
+            assert 10 ** 6 not in kept and 10 ** 6 + 2 in kept and kept.count(None) == 2
+        elif name == "near_duplicates":
+            assert None not in kept and 10 ** 6 in kept and 10 ** 6 + 1 in kept and len(kept) == len(set(kept))
+        else:
+            assert 10 ** 6 in kept and 10 ** 6 + 1 in kept
