@@ -20,39 +20,47 @@ LEAST_SCORE = 0.2
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
-def _with_text(docs: DataFrame) -> tuple[DataFrame, list[str]]:
-    """All columns as keys of an operator that consumes ``text``: the text goes along under another name."""
-    names = [c for c in docs.columns if c != "text"]
-    return docs.withColumn("_text", F.col("text")), [*names, "_text"]
-
-
-def _restored(found: DataFrame, docs: DataFrame) -> DataFrame:
-    return found.withColumnRenamed("_text", "text").select(*docs.columns)
-
-
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is known; the model learns from all labelled rows."""
+    """Documents whose language is known; the model learns from all labelled rows.
+
+    Null or empty texts and texts without letters have no language and go; a null ``lang`` is not learned from, and
+    without any labelled row nothing stays; repeated rows stay as often as they occur; an empty table stays empty;
+    other columns are handed on, whatever their names.
+    """
     model = langid.train(docs)
-    rows, keys = _with_text(docs)
-    found = langid.label(rows, model, keys)
-    return _restored(found.where((F.col("lang_pred") != langid.UNDETERMINED)
-                                 & (F.col("score") >= LEAST_SCORE)), docs)
+    others = [c for c in docs.columns if c != "text"]
+    found = langid.label(docs.select(F.struct(*others).alias("others"), "text"), model, ["others", "text"])
+    sure = found.where((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= LEAST_SCORE))
+    return sure.select(*[F.col("text") if c == "text" else F.col("others")[c].alias(c) for c in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, that of the smallest id."""
+    """One document of each group of near-duplicates, that of the smallest id.
+
+    Of rows that repeat id and text one stays; a row without an id stays only if its group has none with one; texts
+    without words (null and empty ones too) are near none and all stay; an empty table stays empty; other columns
+    are handed on, whatever their names.
+    """
     return jaccard.one_of_each(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are not contaminated by items of ``benchmark``."""
-    rows, keys = _with_text(docs)
-    found = decontaminate.contamination(rows, table(spark, sf_dir, "benchmark"), keys)
-    return _restored(found.where(~F.col("contaminated")), docs)
+    """Documents that are not contaminated by items of ``benchmark``.
+
+    Null and empty texts have no words and stay; null items match nothing; without items all rows stay; repeated rows
+    are judged alike; an empty table stays empty; other columns are handed on, whatever their names.
+    """
+    rows = docs.select(F.struct(*docs.columns).alias("whole"), "text")
+    found = decontaminate.contamination(rows, table(spark, sf_dir, "benchmark"), ["whole"])
+    return found.where(~F.col("contaminated")).select(*[F.col("whole")[c].alias(c) for c in docs.columns])
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each document, and whether they decode to its text."""
+    """Token ids of each document, and whether they decode to its text.
+
+    A null text is encoded as the empty one (no ids); repeated rows and null ids are rows of their own; an empty table
+    stays empty; columns other than ``doc_id`` and ``text`` are left out.
+    """
     ranks = bpe.read_ranks(public_tokenizers.path(VOCABULARY))
     both = bpe.decode(bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks)
     return both.select("doc_id", "n_tokens", "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
@@ -61,7 +69,7 @@ def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [("language", language), ("near_duplicates", near_duplicates),
           ("decontamination", decontamination), ("encoding", encoding)]
 
-#: SQL cannot express the first and last stage; see tests/llm/test_pipeline.py.
+#: SQL cannot express the first and last stage; see tests/llm/test_corpus_pipeline.py.
 ORACLE_SQL = None
 
 
