@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, slices, splitter
+from .common import give_back, small_batches, slices, splitter
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -287,6 +287,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str =
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(ids, pa.binary()),
                  pa.array([len(x) // 4 for x in ids], pa.int64())], ["doc_id", "ids", "n_tokens"])
+        give_back()
 
     return rows.mapInArrow(work, f"doc_id {kind}, ids binary, n_tokens bigint")
 
@@ -311,6 +312,7 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(out, pa.binary()), pa.array(valid)],
                 [*batch.schema.names, "decoded", "valid"])
+        give_back()
 
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in encoded.schema)
     return encoded.mapInArrow(work, f"{kinds}, decoded binary, valid boolean")

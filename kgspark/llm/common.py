@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import re
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -65,6 +67,17 @@ def slices(batches: Iterable[pa.RecordBatch], column: str,
             yield batch.slice(start)
 
 
+def give_back() -> None:
+    """Return freed memory to the system. Spark hands a Python worker from stage to stage, and what one stage freed
+    would otherwise stay with the worker while the next one runs in others."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def utf8(batch: pa.RecordBatch, column: str) -> list[bytes]:
     """The texts of a batch as UTF-8 bytes, null as empty."""
     return [x or b"" for x in batch.column(column).cast(pa.binary()).to_pylist()]

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, slices, utf8, written
+from .common import give_back, small_batches, slices, utf8, written
 
 WINDOW = 13
 #: A document is contaminated if ``SHARE`` times its hit words reach its words.
@@ -222,6 +222,7 @@ def _pass(docs: DataFrame, machine: Automaton, clean: bool) -> DataFrame:
                 columns.append(pa.array(hits, pa.list_(pa.int64())))
             yield pa.RecordBatch.from_arrays(
                 columns, [*keys, "n_words", "items", *(["n_hit", "spans", "text"] if clean else ["hits"])])
+        give_back()
 
     return docs.mapInArrow(work, f"{kinds}, n_words bigint, items array<string>, "
                                  + (f"n_hit bigint, {CLEAN}" if clean else "hits array<bigint>"))

@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, slices, utf8, written
+from .common import give_back, small_batches, slices, utf8, written
 from .graph import components
 
 N_GRAM = 5
@@ -132,6 +132,7 @@ def signatures(docs: DataFrame, n: int = N_GRAM, rows: int = ROWS, bands: int |
                  pa.array([blake2b(s.tobytes(), digest_size=16).hexdigest() if len(s) else None for s in sets], pa.string()),
                  pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
                 ["doc_id", "h", "key", "size", "bands"])
+        give_back()
 
     rows_ = docs.select("doc_id", "text", F.xxhash64("text").alias("h"))
     out = rows_.mapInArrow(work, f"doc_id {kind}, h bigint, key string, size bigint, bands array<bigint>")
@@ -252,6 +253,8 @@ def _verified(groups: DataFrame) -> DataFrame:
                 held.append(r)
         if held:
             yield done()
+        held = []
+        give_back()
 
     return groups.mapInArrow(work, "id bigint, links bigint, root bigint")
 
@@ -289,6 +292,7 @@ def near_duplicates(docs: DataFrame, n: int = N_GRAM) -> DataFrame:
             made = pa.array([shingles(t, n).tobytes() for t in utf8(batch, "text")], pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.select(batch.schema.names[:-1]).columns, made],
                                              [*batch.schema.names[:-1], "set"])
+        give_back()
 
     small_batches(spark)
     with_sets = texts.mapInArrow(sets, "id bigint, comp bigint, copies bigint, bands array<bigint>, "

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import small_batches, slices
+from .common import give_back, small_batches, slices
 
 MAX_GRAM = 4
 BUCKETS = 1 << 17
@@ -59,7 +59,7 @@ MOST_WORDS = 300_000
 #: Words whose n-grams are looked up at once.
 STEP_WORDS = 40_000
 #: Words labelled side by side.
-GROUP_WORDS = 1_500_000
+GROUP_WORDS = 1_000_000
 #: Multipliers of the n-gram hash, one per position (odd 64-bit constants of a generator).
 _MULTIPLY = np.random.default_rng(11).integers(1, 1 << 62, MAX_GRAM, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -166,6 +166,8 @@ def train(docs: DataFrame) -> Model:
             yield pa.RecordBatch.from_arrays(
                 [pa.array([lang] * len(some)), pa.array(some, pa.int32()), pa.array(table[some])],
                 ["lang", "slot", "n"])
+        del tables, held
+        give_back()
 
     total = (rows.mapInArrow(count, "lang string, slot int, n bigint")
              .groupBy("lang", "slot").agg(F.sum("n").alias("n")).toPandas())
@@ -313,6 +315,8 @@ def label(docs: DataFrame, model: Model, keys: list[str] = ["doc_id"],  # noqa:
                 group, size = [], 0
         if group:
             yield _labelled(group, model, spans)
+        del known, group
+        give_back()
 
     found = rows.mapInArrow(work, schema)
     return found.select(*[F.col("text") if k == "text" else F.col("packed")[k].alias(k) for k in keys],
