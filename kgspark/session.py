@@ -10,6 +10,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,9 +36,31 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
     )
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Hand this package to the Python workers as a zip, once per application: they may run on machines that do not
+    have the driver's folders."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="kgspark-package-"), "kgspark.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(package):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.relpath(path, os.path.dirname(package)))
+    sc.addPyFile(archive)
+    _SHIPPED.add(sc.applicationId)
+
+
+_SHIPPED: set[str] = set()
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder, setting a private one only if none is configured."""
     sc = spark.sparkContext
@@ -65,5 +89,58 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/kgspark-tables/{uuid.uuid4().hex}"
+    if _SCOPES:
+        _SCOPES[-1].paths.append(path)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    found = spark.read.parquet(path)
+    found._kgspark_path = path
+    return found
+
+
+class Scope:
+    """Tables that ``cut_lineage`` wrote during a call (see ``table_scope``)."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def _delete(self, path: str) -> None:
+        jpath = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        jpath.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(jpath, True)
+
+    def drop(self, table: DataFrame) -> None:
+        """Delete a table that nothing reads any more, such as the state before the last round."""
+        path = getattr(table, "_kgspark_path", None)
+        if path in self.paths:
+            self.paths.remove(path)
+            self._delete(path)
+
+    def keep(self, table: DataFrame) -> DataFrame:
+        """Hand a table on to the caller (and to the caller's scope)."""
+        path = getattr(table, "_kgspark_path", None)
+        if path in self.paths:
+            self.paths.remove(path)
+            outer = _SCOPES[_SCOPES.index(self) - 1] if _SCOPES.index(self) else None
+            if outer is not None:
+                outer.paths.append(path)
+        return table
+
+    def close(self) -> None:
+        for path in self.paths:
+            self._delete(path)
+
+
+_SCOPES: list[Scope] = []
+
+
+@contextmanager
+def table_scope(spark: SparkSession):
+    """Tables that ``cut_lineage`` writes inside are deleted at the end, but for those that are kept.
+
+    What is kept is a whole table in the shared folder, so a lost executor never needs a deleted one."""
+    scope = Scope(spark)
+    _SCOPES.append(scope)
+    try:
+        yield scope
+    finally:
+        scope.close()
+        _SCOPES.remove(scope)
