@@ -290,8 +290,7 @@ def q_constraint_violations(spark: SparkSession, sf: str) -> DataFrame:
          .unionByName(SK.constraint_violations(SK.sink_entities(ents, 768), "entities", 768))
          .unionByName(SK.constraint_violations(SK.sink_relationships(rels, 768),
                                                "relationships", 768)))
-    return v.groupBy("table", "rule", "column").agg(F.count(F.lit(1)).cast("bigint")
-                                                    .alias("n"))
+    return v.groupBy("table", "rule", "column").agg(F.sum("n_rows").cast("bigint").alias("n"))
 
 
 def q_node_union(spark: SparkSession, sf: str) -> DataFrame:

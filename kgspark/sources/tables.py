@@ -1,10 +1,11 @@
-"""Table layer (S2-S10): one Parquet folder per table under a base path.
-
-Reads are lazy DataFrames (column pruning and predicates reach the Parquet scan);
-nothing is collected. Writes go to a staging folder first and are then swapped in,
-so a step may overwrite a table it reads (Q10) and a failed job never leaves a
-half-written table behind. The table before is set aside until the new one is in
-place; if the driver is lost between the two renames, the next access brings it back.
+"""Table layer (S2-S10): one folder per table under a base path, with committed versions.
+
+Reads are lazy DataFrames (column pruning and predicates reach the Parquet scan); nothing is collected. A write puts
+its rows into a new version folder and commits it last by creating one empty file in the table's ``_versions`` folder,
+named ``<number>-<o or a>-<id>``; creating a file is atomic on any file system, and nothing is renamed. A table is its
+last version that overwrites (``o``) and those appended (``a``) after it. So a step may overwrite a table that it reads
+(Q10), a job or driver lost at any point leaves the old version or the new one, and a reader that has begun keeps its
+files: the versions before the last overwrite are deleted only by the overwrite after it.
 """
 
 from __future__ import annotations
@@ -49,30 +50,33 @@ class TableStore:
     def path(self, name: str) -> str:
         return f"{self.base_path}/{name}"
 
-    def _previous(self, name: str) -> str:
-        return f"{self.path(name)}.__previous"
+    def _committed(self, name: str) -> list[str]:
+        """Names of all committed versions, oldest first."""
+        fs, marks = _fs(self.spark, self.path(name) + "/_versions")
+        if not fs.exists(marks):
+            return []
+        return sorted(f.getPath().getName() for f in fs.listStatus(marks))
 
-    def _recover(self, name: str) -> None:
-        """Bring back the table that an interrupted swap set aside."""
-        fs, target = _fs(self.spark, self.path(name))
-        _, previous = _fs(self.spark, self._previous(name))
-        if not fs.exists(target) and fs.exists(previous) and not fs.rename(previous, target):
-            raise IOError(f"could not bring back {name}")
+    @staticmethod
+    def _current(versions: list[str]) -> list[str]:
+        """The versions that make up the table now."""
+        last = max((i for i, v in enumerate(versions) if v.split("-")[1] == "o"), default=0)
+        return versions[last:]
 
     # S5
     def exists(self, name: str) -> bool:
-        self._recover(name)
-        return path_exists(self.spark, self.path(name) + "/_SUCCESS")
+        return bool(self._committed(name))
 
     # S2 / S3 / S4
     def read(self, name: str, columns: list[str] | None = None, where: str | None = None,
              schema: T.StructType | None = None) -> DataFrame:
-        if not self.exists(name):
+        versions = self._current(self._committed(name))
+        if not versions:
             if schema is None:
                 raise FileNotFoundError(f"table {name} does not exist and no schema given")
             df = self.spark.createDataFrame([], schema)
         else:
-            df = self.spark.read.parquet(self.path(name))
+            df = self.spark.read.parquet(*[f"{self.path(name)}/{v}" for v in versions])
         if where:
             df = df.where(where)
         if columns:
@@ -84,26 +88,40 @@ class TableStore:
               mode: str = "overwrite", partition_by: list[str] | None = None) -> str:
         if schema is not None:
             df = conform(df, schema)
-        target = self.path(name)
-        writer_opts = (lambda w: w.partitionBy(*partition_by)) if partition_by else (lambda w: w)
-        self._recover(name)
-        if mode == "append":
-            writer_opts(df.write.mode("append")).parquet(target)
-            return target
-        staging = f"{target}.__staging_{uuid.uuid4().hex[:8]}"
-        writer_opts(df.write.mode("overwrite")).parquet(staging)
-        fs, jtarget = _fs(self.spark, target)
-        _, jstaging = _fs(self.spark, staging)
-        _, jprevious = _fs(self.spark, self._previous(name))
-        if fs.exists(jtarget):
-            fs.delete(jprevious, True)  # left by a swap whose new table is in place
-            if not fs.rename(jtarget, jprevious):
-                raise IOError(f"could not set {target} aside")
-        if not fs.rename(jstaging, jtarget):
-            raise IOError(f"could not move {staging} to {target}")
-        fs.delete(jprevious, True)
+        before = self._committed(name)
+        number = int(before[-1].split("-")[0]) + 1 if before else 1
+        version = f"{number:08d}-{'a' if mode == 'append' else 'o'}-{uuid.uuid4().hex[:8]}"
+        target = f"{self.path(name)}/{version}"
+        writer = df.write.mode("errorifexists")
+        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(target)
+        self._commit(name, version)
+        if mode != "append":
+            self._forget(name, before[:len(before) - len(self._current(before))])
         return target
 
+    def _commit(self, name: str, version: str) -> None:
+        fs, mark = _fs(self.spark, f"{self.path(name)}/_versions/{version}")
+        fs.create(mark, False).close()
+
+    def _forget(self, name: str, versions: list[str]) -> None:
+        """Delete versions that were superseded before the last one: the mark first, so none is read in part; and
+        what writes that were cut off before them left."""
+        for v in versions:
+            fs, mark = _fs(self.spark, f"{self.path(name)}/_versions/{v}")
+            fs.delete(mark, False)
+        known = set(self._committed(name))
+        fs, folder = _fs(self.spark, self.path(name))
+        oldest = min(known)
+        for f in fs.listStatus(folder):
+            v = f.getPath().getName()
+            if v != "_versions" and v not in known and v < oldest:
+                fs.delete(f.getPath(), True)
+
+    def drop(self, name: str) -> None:
+        """Delete a table that is only handed from one job to the next."""
+        fs, folder = _fs(self.spark, self.path(name))
+        fs.delete(folder, True)
+
     def append(self, df: DataFrame, name: str, schema: T.StructType | None = None) -> str:
         return self.write(df, name, schema, mode="append")
 

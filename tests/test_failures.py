@@ -4,7 +4,6 @@ import pytest
 from kgspark.operators import embed as EM
 from kgspark.operators.communities import connected_components
 from kgspark.operators.model import PythonBatchBackend, call_model
-from kgspark.sources import tables
 from kgspark.sources.tables import TableStore, path_exists
 
 
@@ -44,28 +43,37 @@ def test_failed_embeddings_raise(spark):
         EM.check_complete(EM.embed(rows, "id", "t", backend), "v")
 
 
-def test_a_swap_cut_off_in_the_middle_keeps_the_table(spark, tmp_path, monkeypatch):
+def test_a_write_cut_off_before_its_commit_keeps_the_table(spark, tmp_path, monkeypatch):
     store = TableStore(spark, str(tmp_path))
     store.write(spark.range(3), "t")
-    real = tables._fs
-
-    class Cut:  # the second rename, of the new table, never happens
-        def __init__(self, fs):
-            self.fs = fs
-
-        def __getattr__(self, name):
-            return getattr(self.fs, name)
+    store.append(spark.range(10, 12), "t")
+
+    def lost(self, name, version):
+        raise ConnectionError("driver lost")
+
+    for mode in ("overwrite", "append"):
+        with monkeypatch.context() as m:
+            m.setattr(TableStore, "_commit", lost)
+            with pytest.raises(ConnectionError):
+                store.write(spark.range(5), "t", mode=mode)
+        assert sorted(r.id for r in store.read("t").collect()) == [0, 1, 2, 10, 11]
+    reader = store.read("t")
+    store.write(reader.where("id > 1"), "t")
+    assert sorted(r.id for r in store.read("t").collect()) == [2, 10, 11]
+    assert reader.count() == 5  # a reader that has begun keeps its files over one overwrite
+    store.write(spark.range(7), "t")
+    store.write(spark.range(8), "t")
+    assert store.read("t").count() == 8
+    # the last overwrite and the one before it are left, and nothing that was never committed
+    assert len([f for f in tmp_path.joinpath("t").iterdir() if not f.name.startswith(("_", "."))]) == 2
 
-        def rename(self, a, b):
-            if "__staging_" in a.toString():
-                raise ConnectionError("driver lost")
-            return self.fs.rename(a, b)
 
+def test_a_write_cut_off_while_its_marks_are_deleted(spark, tmp_path, monkeypatch):
+    store = TableStore(spark, str(tmp_path))
+    for n in (1, 2):
+        store.write(spark.range(n), "t")
     with monkeypatch.context() as m:
-        m.setattr(tables, "_fs", lambda s, p: (Cut(real(s, p)[0]), real(s, p)[1]))
+        m.setattr(TableStore, "_forget", lambda *a: (_ for _ in ()).throw(ConnectionError("driver lost")))
         with pytest.raises(ConnectionError):
-            store.write(spark.range(5), "t")
-    assert store.read("t").count() == 3
-    store.write(spark.range(7), "t")
-    assert store.read("t").count() == 7
-    assert not path_exists(spark, f"{tmp_path}/t.__previous")
+            store.write(spark.range(3), "t")
+    assert store.read("t").count() == 3 and store.exists("t") and not store.exists("u")
