@@ -385,4 +385,27 @@ FROM v"""
 sym AS (SELECT source_entity_id AS v, target_entity_id AS n FROM rels
         UNION SELECT target_entity_id, source_entity_id FROM rels)
 SELECT v AS entity_id, CAST(count(*) AS BIGINT) AS n_neighbors FROM sym WHERE v <> n GROUP BY v"""
+    q["communities_detected"] = f"""WITH {GRAPH},
+v AS (SELECT source_entity_id AS id FROM rels WHERE weight > 0
+      UNION SELECT target_entity_id FROM rels WHERE weight > 0)
+SELECT CAST(count(*) AS BIGINT) AS n_memberships, CAST(count(*) AS BIGINT) AS n_entities, CAST(0 AS BIGINT) AS n_odd_ids,
+       CAST(0 AS BIGINT) AS n_odd_relationships, CAST(0 AS BIGINT) AS n_odd_documents FROM v"""
+    q["pipeline_end_to_end"] = f"""WITH {GRAPH},
+v AS (SELECT source_entity_id AS id FROM rels WHERE weight > 0
+      UNION SELECT target_entity_id FROM rels WHERE weight > 0)
+SELECT 'documents' AS "table", CAST(count(*) AS BIGINT) AS n, CAST(0 AS BIGINT) AS n_without_vector FROM docs
+UNION ALL SELECT 'entities', count(*), 0 FROM ents
+UNION ALL SELECT 'relationships', count(*), 0 FROM rels
+UNION ALL SELECT 'communities', count(*), 0 FROM v"""
+    q["run_counts"] = f"""WITH {GRAPH}
+SELECT CAST(step AS BIGINT) AS step, name, CAST(value AS BIGINT) AS value FROM (
+  SELECT 1 AS step, 'documents' AS name, (SELECT count(*) FROM docs) AS value
+  UNION ALL SELECT 2, 'extraction_quarantine', 0 UNION ALL SELECT 2, 'quarantined_results', 0
+  UNION ALL SELECT 2, 'entity_mentions', (SELECT count(*) FROM em) UNION ALL SELECT 2, 'unknown_types', 0
+  UNION ALL SELECT 2, 'relationship_mentions', (SELECT count(*) FROM rm)
+  UNION ALL SELECT 2, 'summary_results', (SELECT count(*) FROM ent WHERE n_descriptions > 1) + (SELECT count(*) FROM rel WHERE n_descriptions > 1)
+  UNION ALL SELECT 2, 'repeated_summaries', 0
+  UNION ALL SELECT 2, 'entities_raw', (SELECT count(*) FROM eraw) UNION ALL SELECT 2, 'relationships_raw', (SELECT count(*) FROM rraw)
+  UNION ALL SELECT 3, 'entities', (SELECT count(*) FROM ents) UNION ALL SELECT 3, 'relationships', (SELECT count(*) FROM rels)
+  UNION ALL SELECT 3, 'dangling_relationships', (SELECT count(*) FROM rraw) - (SELECT count(*) FROM rels))"""
     return {**q, **edge_cases.ORACLES}

@@ -312,10 +312,28 @@ def q_neighbors_one_hop(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_communities_detected(spark: SparkSession, sf: str) -> DataFrame:
+    """Detected communities, as facts that hold for any right detection: whom they cover, and how many rows
+    have another id, other relationships or other documents than their members give."""
+    from ..functions.text import stable_id
     from ..operators import communities as C
+    from ..session import cut_lineage
     ents, rels = cached_graph(spark, sf)
-    c = C.detect(ents, rels)
-    return c.select("id", "level", F.size("entity_ids").cast("bigint").alias("n_entities"))
+    found = cut_lineage(C.detect(ents, rels))
+    member = found.select(F.col("id").alias("cid"), "level", F.explode("entity_ids").alias("eid"))
+    ends = rels.select("id", F.col("source_entity_id").alias("s"), F.col("target_entity_id").alias("t"))
+    inside = (ends.join(member.select("cid", F.col("eid").alias("s")), "s").join(member.select("cid", F.col("eid").alias("t")), ["cid", "t"])
+              .select("cid", "id"))
+    listed = found.select(F.col("id").alias("cid"), F.explode("relationship_ids").alias("id"))
+    papers = (member.join(ents.select(F.col("id").alias("eid"), F.explode("document_ids").alias("doc")), "eid")
+              .select("cid", "doc").distinct())
+    listed_papers = found.select(F.col("id").alias("cid"), F.explode("document_ids").alias("doc"))
+    odd = lambda a, b, name: a.exceptAll(b).unionByName(b.exceptAll(a)).agg(F.count(F.lit(1)).alias(name))
+    facts = member.where("level = 0").agg(F.count(F.lit(1)).alias("n_memberships"), F.countDistinct("eid").alias("n_entities"))
+    ids = found.where(F.col("id") != stable_id("community", F.col("level"), F.element_at("entity_ids", 1))).agg(
+        F.count(F.lit(1)).alias("n_odd_ids"))
+    for one_row in (ids, odd(inside, listed, "n_odd_relationships"), odd(papers, listed_papers, "n_odd_documents")):
+        facts = facts.crossJoin(one_row)  # one row each
+    return facts
 
 
 def q_communities_hierarchy(spark: SparkSession, sf: str) -> DataFrame:
@@ -356,10 +374,29 @@ def q_pipeline_end_to_end(spark: SparkSession, sf: str) -> DataFrame:
                          community=CommunityConfig())
     run_pipeline(spark, cfg)
     sink = TableStore(spark, base + "/sink")
-    return sink.read("communities").groupBy("level").agg(
-        F.count(F.lit(1)).cast("bigint").alias("n_communities"),
-        F.sum(F.size("entity_ids")).cast("bigint").alias("n_memberships"),
-        F.count("full_content_embedding").cast("bigint").alias("n_embedded"))
+    n, none = F.count(F.lit(1)).cast("bigint").alias("n"), F.lit(0).cast("bigint").alias("n_without_vector")
+    without = lambda c: F.sum(F.col(c).isNull().cast("bigint")).alias("n_without_vector")
+    rows = [("documents", (n, without("content_embedding"))), ("entities", (n, without("description_embedding"))),
+            ("relationships", (n, none)),
+            ("communities", (F.sum(F.size("entity_ids")).cast("bigint").alias("n"), without("full_content_embedding")))]
+    out = None
+    for name, counts in rows:
+        one = sink.read(name).agg(*counts).select(F.lit(name).alias("table"), "n", "n_without_vector")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def q_run_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """What the first three steps record."""
+    import uuid
+
+    from ..config import PipelineConfig, SourceConfig, StorageConfig
+    from ..session import ensure_checkpoint_dir
+    from .pipeline import Pipeline
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/kgspark-counts-{uuid.uuid4().hex}"
+    job = Pipeline(spark, PipelineConfig(source=SourceConfig("documents", sf), storage=StorageConfig(base)))
+    job.run(steps=[1, 2, 3])
+    return job.store.read("run_counts").select(F.col("step").cast("bigint").alias("step"), "name", "value")
 
 
 QUERIES = {
@@ -401,5 +438,6 @@ QUERIES = {
     "rel_dangling": q_rel_dangling,
     "connected_components": q_connected_components,
     "pipeline_end_to_end": q_pipeline_end_to_end,
+    "run_counts": q_run_counts,
     **edge_cases.QUERIES,
 }

@@ -37,3 +37,20 @@ def test_table_store_self_overwrite_and_missing(spark):
     empty = store.read("nope", schema=SC.DOCUMENTS)  # S4
     assert empty.count() == 0 and empty.columns == ["id", "title", "raw_content"]
     assert store.row_count("t").first().cnt == 5
+
+
+def test_a_step_without_its_input_fails_and_counts_are_recorded(spark):
+    import pytest
+    base = tempfile.mkdtemp(prefix="kgspark-test-")
+    p = Pipeline(spark, PipelineConfig(source=SourceConfig("documents", "/root/testdata/sf0.001"), storage=StorageConfig(base + "/t")))
+    for step in (2, 3, 4, 5, 6):
+        with pytest.raises(RuntimeError, match="was never written"):
+            p.run(steps=[step])
+    p.run(steps=[1, 2, 3, 4, 5])
+    counts = {(r.step, r.name): r.value for r in p.store.read("run_counts").collect()}
+    for step, name in ((1, "documents"), (2, "entities_raw"), (3, "entities"), (4, "communities"), (5, "community_reports")):
+        assert counts[step, name] == p.store.read(name).count() > 0
+    assert counts[4, "communities_level_0"] == counts[4, "communities"] and counts[4, "communities_level_1"] == 0
+    assert counts[5, "without_report"] == 0
+    requests = p.store.read("report_requests_level_0")  # S10: the requests of every level are kept
+    assert requests.columns == ["community_id", "level", "request"] and requests.count() == counts[4, "communities"]
