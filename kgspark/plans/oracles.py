@@ -385,6 +385,28 @@ FROM v"""
 sym AS (SELECT source_entity_id AS v, target_entity_id AS n FROM rels
         UNION SELECT target_entity_id, source_entity_id FROM rels)
 SELECT v AS entity_id, CAST(count(*) AS BIGINT) AS n_neighbors FROM sym WHERE v <> n GROUP BY v"""
+    q["sink_topk"] = """
+WITH e AS (SELECT CAST(vec_id AS VARCHAR) AS id, vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+           WHERE embedding IS NOT NULL),
+s AS (SELECT a.id AS query_id, b.id AS item_id, list_cosine_similarity(a.v, b.v) AS score FROM e a, e b WHERE a.vec_id % 20 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, item_id) AS rk FROM s)
+SELECT query_id, CAST(rk AS BIGINT) AS rank, item_id, round(score, 6) AS score FROM r WHERE rk <= 5"""
+    q["upsert_update"] = """
+SELECT CAST(doc_id AS VARCHAR) AS id, CASE WHEN doc_id % 4 <> 0 THEN 'second' ELSE 'first' END AS title,
+       CAST(length(coalesce(text, '')) AS BIGINT) AS n_chars FROM documents WHERE doc_id % 4 <> 0 OR doc_id % 3 <> 0"""
+    q["sink_violations"] = """
+WITH r AS (
+  SELECT doc_id AS n, CASE WHEN doc_id % 7 = 1 THEN NULL WHEN doc_id % 11 = 1 THEN repeat('k', 64) || doc_id
+    WHEN doc_id % 5 = 1 THEN 'same' ELSE CAST(doc_id AS VARCHAR) END AS id FROM documents),
+v AS (
+  SELECT id, 'unique_key' AS rule, 'id' AS c FROM r
+  UNION ALL SELECT id, 'not_null', 'id' FROM r WHERE id IS NULL
+  UNION ALL SELECT id, 'max_len_64', 'id' FROM r WHERE length(id) > 64
+  UNION ALL SELECT id, 'element_max_len_36', 'entity_ids' FROM r WHERE n % 13 = 1
+  UNION ALL SELECT id, 'element_max_len_36', 'relationship_ids' FROM r WHERE n % 17 = 1
+  UNION ALL SELECT id, 'vector_len_4', 'content_embedding' FROM r WHERE n % 3 = 1)
+SELECT coalesce(id, '(null)') AS key, rule, c AS "column", CAST(count(*) AS BIGINT) AS n_rows
+FROM v GROUP BY id, rule, c HAVING rule <> 'unique_key' OR count(*) > 1"""
     q["communities_detected"] = f"""WITH {GRAPH},
 v AS (SELECT source_entity_id AS id FROM rels WHERE weight > 0
       UNION SELECT target_entity_id FROM rels WHERE weight > 0)

@@ -267,6 +267,58 @@ def q_cosine_topk(spark: SparkSession, sf: str) -> DataFrame:
         "query_id", "rank", "item_id", _r6("score").alias("score"))
 
 
+def q_sink_topk(spark: SparkSession, sf: str) -> DataFrame:
+    """L5 over the sink: vectors upserted as documents, every twentieth searched among all of them."""
+    import uuid
+
+    from ..operators import sink as SK
+    from ..operators.search import cosine_topk
+    from ..session import ensure_checkpoint_dir
+    from ..sources.driver import table
+    from ..sources.tables import TableStore
+    emb = table(spark, sf, "embeddings")
+    dim = 64 if emb.isEmpty() else len(emb.select("embedding").where("embedding is not null").first()[0])
+    store = TableStore(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/kgspark-search-{uuid.uuid4().hex}")
+    rows = SK.sink_documents(emb.select(F.col("vec_id").cast("string").alias("id"), F.col("embedding").alias("content_embedding")), dim)
+    docs = SK.checked_upsert(store, "documents", rows, dim).select("id", F.col("content_embedding").alias("vector"))
+    return cosine_topk(docs.where(F.col("id").cast("bigint") % 20 == 0), docs, 5).select(
+        "query_id", "rank", "item_id", _r6("score").alias("score"))
+
+
+def q_upsert_update(spark: SparkSession, sf: str) -> DataFrame:
+    """S12 through the committed tables: a second batch with changed, new and repeated keys over a first one."""
+    import uuid
+
+    from ..operators import sink as SK
+    from ..session import ensure_checkpoint_dir
+    from ..sources.driver import table
+    from ..sources.tables import TableStore
+    store = TableStore(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/kgspark-upsert-{uuid.uuid4().hex}")
+    docs = table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("id"), "doc_id", F.col("text").alias("raw_content"))
+    batch = lambda rows, title: SK.sink_documents(rows.select("id", F.lit(title).alias("title"), "raw_content"), 4)
+    SK.upsert_table(store, "documents", batch(docs.where("doc_id % 3 <> 0"), "first"))
+    second = docs.where("doc_id % 4 <> 0")
+    done = SK.upsert_table(store, "documents", batch(second.unionByName(second.where("doc_id % 8 = 1")), "second"))
+    return done.select("id", "title", F.length("raw_content").cast("bigint").alias("n_chars"))
+
+
+def q_sink_violations(spark: SparkSession, sf: str) -> DataFrame:
+    """Sink documents with a fault of each rule, chosen by the document's id."""
+    from ..operators import sink as SK
+    from ..sources.driver import table
+    n = F.col("doc_id")
+    every = lambda k, then: F.when(n % k == 1, then)
+    rows = table(spark, sf, "documents").select(
+        F.when(n % 7 == 1, F.lit(None)).when(n % 11 == 1, F.concat(F.repeat(F.lit("k"), 64), n.cast("string")))
+        .when(n % 5 == 1, F.lit("same")).otherwise(n.cast("string")).alias("id"),
+        F.lit("").alias("title"), F.lit("").alias("raw_content"),
+        F.coalesce(every(13, F.array(F.lit("ok"), F.repeat(F.lit("e"), 37))), F.array(F.lit("ok"))).alias("entity_ids"),
+        every(17, F.array(F.repeat(F.lit("r"), 40))).alias("relationship_ids"),
+        F.when(n % 3 == 0, F.array_repeat(F.lit(0.5), 4)).when(n % 3 == 1, F.array_repeat(F.lit(0.5), 3)).alias("content_embedding"))
+    return SK.constraint_violations(SK.sink_documents(rows, 4), "documents", 4).select(
+        F.coalesce("key", F.lit("(null)")).alias("key"), "rule", "column", "n_rows")
+
+
 def q_upsert_entities(spark: SparkSession, sf: str) -> DataFrame:
     from ..operators import sink as SK
     ents, _ = cached_graph(spark, sf)
@@ -429,6 +481,9 @@ QUERIES = {
     "report_body": q_report_body,
     "reports_two_levels": q_reports_two_levels,
     "cosine_topk": q_cosine_topk,
+    "sink_topk": q_sink_topk,
+    "upsert_update": q_upsert_update,
+    "sink_violations": q_sink_violations,
     "upsert_entities": q_upsert_entities,
     "constraint_violations": q_constraint_violations,
     "node_union": q_node_union,

@@ -45,3 +45,40 @@ def test_cosine_topk_matches_numpy(spark):
         mine = [r.item_id for r in sorted((r for r in got if r.query_id == f"q{j}"),
                                           key=lambda r: r.rank)]
         assert mine == want
+
+
+def test_cosine_topk_blocks_ties_and_odd_rows(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(60, 5)).astype(np.float32)
+    x[20:30] = x[10]  # copies in different blocks tie exactly
+    rows = [(f"i{j:02d}", x[j].tolist()) for j in range(60)]
+    odd = [("null", None), ("zero", [0.0] * 5), ("nan", [float("nan")] + [1.0] * 4), ("inf", [float("inf")] + [1.0] * 4)]
+    items = spark.createDataFrame(rows + odd, "id string, vector array<float>").repartition(3)
+    asked = [("a", x[10].tolist()), ("a", x[10].tolist()), ("a", x[40].tolist()), ("b", x[5].tolist()), *odd]
+    queries = spark.createDataFrame(asked, "id string, vector array<float>")
+    got = [tuple(r) for r in cosine_topk(queries, items, 12, query_block=2, item_block=7).collect()]
+    y = x.astype(np.float64)
+    want = []
+    for name, j in (("a", 10), ("a", 40), ("b", 5)):
+        s = (y * y[j]).sum(axis=1) / (np.linalg.norm(y, axis=1) * np.linalg.norm(y[j]))
+        best = sorted((-round(v, 12), f"i{i:02d}") for i, v in enumerate(s))[:12]
+        want += [(name, r + 1, i, -v) for r, (v, i) in enumerate(best)]
+    assert sorted((a, b, c, round(d, 12)) for a, b, c, d in got) == sorted(want)
+    assert cosine_topk(queries.limit(0), items).collect() == [] == cosine_topk(queries, items.limit(0)).collect()
+
+
+def test_upsert_changes_adds_and_keeps_rows(spark, tmp_path):
+    from kgspark.sources.tables import TableStore
+    store = TableStore(spark, str(tmp_path))
+    SK.upsert_table(store, "t", spark.createDataFrame([("a", 1), ("b", 2)], "id string, v int"))
+    done = SK.upsert_table(store, "t", spark.createDataFrame([("b", 5), ("c", 6), ("c", 6)], "id string, v int"))
+    assert sorted(map(tuple, done.collect())) == [("a", 1), ("b", 5), ("c", 6)]
+
+
+def test_constraints_are_checked_in_one_scan(spark):
+    df = spark.createDataFrame([("d" * 65, [0.1] * 3), ("x", [0.1] * 4), ("x", None)], "id string, content_embedding array<float>")
+    found = SK.constraint_violations(SK.sink_documents(df, 4), "documents", 4)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") + plan.count("LocalRelation") == 1
+    assert {(r.key[:2], r.rule, r.n_rows) for r in found.collect()} == {
+        ("dd", "max_len_64", 1), ("dd", "vector_len_4", 1), ("x", "unique_key", 2)}
