@@ -19,14 +19,15 @@ Template: ``<|start|>role<|text|>text<|end|>`` per turn. Inside roles and texts
 Defined cases: null text or role is empty; a null kind is a ``message``; events of equal ``seq`` are
 ordered by turn, kind, role, text; a null conv_id is a conversation of its own; an empty log
 gives no rows; other columns are ignored. A conversation is one output row (its text is one
-document by contract); everything before that row is grouped by (conversation, turn), so a hot
-conversation is spread over its turns and no window runs over a whole conversation.
+document by contract), so ``conversation_events`` deals its rows by conversation at once: all later
+groupings are by keys that begin with it, and texts cross one shuffle.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 START, SEP, END = "<|start|>", "<|text|>", "<|end|>"
 LOSS_ROLE = "assistant"
@@ -48,30 +49,35 @@ def reconstruct(events: DataFrame) -> DataFrame:
         "conv_id", "seq", F.coalesce("kind", F.lit("message")).alias("kind"), "turn",
         F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    cuts = _cuts(log)
+    here = F.col("conv_id").eqNullSafe(F.col("c")) & F.col("turn").eqNullSafe(F.col("t"))
+    # what was logged before the cut goes; at its very seq the earlier turn's regeneration comes first
+    kept = log.join(cuts, here, "left").where(F.col("cut").isNull() | (F.col("seq") >= F.col("cut")))
     # per turn, in one pass: its events in order; small, as one message's own history
-    event = F.struct("seq", "kind", "role", "text")
-    turns = log.groupBy("conv_id", "turn").agg(F.array_sort(F.collect_list(event)).alias("log"))
-    reset = F.transform(
-        F.filter("log", lambda e: e["kind"] != "delta"), lambda e: e["seq"])
-    turns = (turns.withColumn("reset", F.array_max(reset))
-             .withColumn("live", F.filter("log", lambda e: F.col("reset").isNull()
-                                          | (e["seq"] >= F.col("reset"))))
-             .withColumn("cut", F.array_max(F.transform(
-                 F.filter("log", lambda e: e["kind"] == "regenerate"), lambda e: e["seq"]))))
-    cuts = turns.where("cut is not null").select(
-        F.col("conv_id").alias("c"), F.col("turn").alias("t"), F.col("cut").alias("s"))
-    # a turn goes if an earlier turn was regenerated after this one's last reset
-    gone = (turns.join(cuts, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("t") < F.col("turn")))
-            .where(F.col("log")[F.size("log") - 1]["seq"] < F.col("s"))
-            .select("conv_id", "turn").distinct()
-            .select(F.col("conv_id").alias("c"), F.col("turn").alias("t")))
-    kept = turns.join(gone, F.col("conv_id").eqNullSafe(F.col("c"))
-                      & F.col("turn").eqNullSafe(F.col("t")), "left_anti")
+    turns = kept.groupBy("conv_id", "turn").agg(
+        F.array_sort(F.collect_list(F.struct("seq", "kind", "role", "text"))).alias("log"))
+    resets = F.transform("log", lambda e: e["kind"] != "delta")
+    last = F.array_position(F.reverse(resets), True).cast("int")  # from the end; 0 if there is none
+    turns = turns.withColumn("last", last).withColumn("live", F.when(F.col("last") > 0, F.slice(
+        "log", F.size("log") - F.col("last") + 1, F.col("last"))).otherwise(F.col("log")))
     text = F.array_join(F.transform("live", lambda e: F.when(e["kind"] == "regenerate", F.lit(""))
                                     .otherwise(e["text"])), "")
     role = F.array_max(F.transform("live", lambda e: e["role"]))
-    return kept.select("conv_id", "turn", F.col("log")[0]["seq"].alias("pos"), role.alias("role"),
-                       text.alias("text"))
+    return turns.select("conv_id", "turn", F.col("log")[0]["seq"].alias("pos"), role.alias("role"),
+                        text.alias("text"))
+
+
+def _cuts(log: DataFrame) -> DataFrame:
+    """``c``, ``t``, ``cut``: for each turn after a regenerated one the last such regeneration's ``seq``. A running
+    maximum over the turns of the conversations that have any, without texts."""
+    again = log.where((F.col("kind") == "regenerate") & F.col("turn").isNotNull()).groupBy("conv_id", "turn").agg(
+        F.max("seq").alias("s")).select(F.col("conv_id").alias("rc"), F.col("turn").alias("rt"), "s")
+    some = again.select(F.col("rc").alias("sc")).distinct()
+    turns = (log.where("turn is not null").select(F.col("conv_id").alias("c"), F.col("turn").alias("t")).distinct()
+             .join(some, F.col("c").eqNullSafe(F.col("sc")), "left_semi"))
+    before = Window.partitionBy("c").orderBy("t").rowsBetween(Window.unboundedPreceding, -1)
+    return (turns.join(again, F.col("c").eqNullSafe(F.col("rc")) & (F.col("t") == F.col("rt")), "left")
+            .withColumn("cut", F.max("s").over(before)).where("cut is not null").select("c", "t", "cut"))
 
 
 def render(messages: DataFrame) -> DataFrame:
@@ -123,7 +129,7 @@ def conversation_events(conversations: DataFrame) -> DataFrame:
     ordered by turn (null first), ties by role and text; repeated rows are repeated messages."""
     place = F.struct(F.col("turn").alias("turn"), F.coalesce("role", F.lit("")).alias("role"),
                      F.coalesce("text", F.lit("")).alias("text"))
-    counted = (conversations.select("conv_id", place.alias("p"))
+    counted = (conversations.select("conv_id", place.alias("p")).repartition("conv_id")
                .groupBy("conv_id", "p").agg(F.count(F.lit(1)).alias("n")))
     copies = counted.select("conv_id", "p", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))).alias("copy"))
     key = F.struct("p.turn", "p.role", "p.text", "copy")
