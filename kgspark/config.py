@@ -7,10 +7,13 @@ from dataclasses import dataclass, field, replace
 
 @dataclass(frozen=True)
 class ModelConfig:
-    # model and embedding model names are passed to the user-supplied backend
+    # model and embedding model names are passed to every call of the user-supplied function
     model: str = "default"
     temperature: float = 0.0
     max_output_tokens: int = 8192
+    # prompts of one call, and tasks calling the service at once
+    batch_size: int = 250
+    max_concurrent: int = 10
 
 
 @dataclass(frozen=True)

@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Sequence
+from functools import partial
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -29,6 +30,7 @@ from ..config import ModelConfig
 from ..functions import prompts as P
 from ..functions.text import col_, error_prefix
 from ..session import cut_lineage
+from .ledger import called_once
 
 # ---------------------------------------------------------------- requests
 
@@ -210,14 +212,24 @@ class PythonBatchBackend:
     ``batch_size`` prompts. ``num_tasks`` bounds how many tasks call at once.
     """
 
-    def __init__(self, fn: Callable[[list[str]], list[tuple[str | None, str | None]]],
-                 batch_size: int = 250, num_tasks: int | None = None):
+    #: Calls cost time and money: with a store they go through the ledger of finished calls.
+    ledger = True
+
+    def __init__(self, fn: Callable[..., list[tuple[str | None, str | None]]], batch_size: int = 250,
+                 num_tasks: int | None = None, **settings):
+        """``settings`` (such as ``model``) are passed to every call of ``fn``."""
         self.fn = fn
         self.batch_size = batch_size
         self.num_tasks = num_tasks
+        self.settings = settings
+
+    @classmethod
+    def from_config(cls, fn: Callable, cfg: ModelConfig) -> "PythonBatchBackend":
+        return cls(fn, cfg.batch_size, cfg.max_concurrent, model=cfg.model)
 
     def __call__(self, requests: DataFrame, key_cols: Sequence[str]) -> DataFrame:
-        fn, bs = self.fn, self.batch_size
+        bs = self.batch_size
+        fn = partial(self.fn, **self.settings)
         keys = list(key_cols)
         out_schema = T.StructType(
             [T.StructField(k, T.StringType()) for k in keys]
@@ -258,6 +270,16 @@ class PythonBatchBackend:
         return df.mapInPandas(run, out_schema)
 
 
+def _from_ledger(requests: DataFrame, backend, keys: list[str], store, table: str) -> DataFrame:
+    """Results of requests that are called once each: equal requests share a call, in this run and later ones."""
+    which = F.sha2(F.concat_ws("\n", F.lit(json.dumps(backend.settings, sort_keys=True)), "request"), 256)
+    named = requests.withColumn("request_sha", which)
+    answers = called_once(store, f"{table}__calls", named.select("request_sha", "request"), "request_sha",
+                          F.col("status").isNotNull(), lambda part: backend(part, ["request_sha"]), backend.num_tasks or 8)
+    return named.drop("request").join(answers, "request_sha").select(
+        *[F.col(k).cast("string").alias(k) for k in keys], "response", "status")
+
+
 def call_model(requests: DataFrame, backend, key_cols: Sequence[str],
                store=None, table: str | None = None) -> DataFrame:
     """M2: request table -> result table (keys, response, status).
@@ -266,7 +288,10 @@ def call_model(requests: DataFrame, backend, key_cols: Sequence[str],
     given, else a reliable checkpoint -- so the calls run exactly once and the
     parser downstream plans against a plain scan.
     """
-    out = backend(requests, list(key_cols))
+    if store is not None and table and getattr(backend, "ledger", False):
+        out = _from_ledger(requests, backend, list(key_cols), store, table)
+    else:
+        out = backend(requests, list(key_cols))
     if store is not None and table:
         store.write(out, table)
         return store.read(table)
