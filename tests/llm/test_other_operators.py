@@ -361,3 +361,33 @@ def test_run_ranks_compare_first_words():
     head = [tuple(tokens[i:i + html_text.RUN]) for i in range(300)]
     for i, j in combinations(range(300), 2):
         assert (head[i] == head[j]) == (rank[i] == rank[j]) and (head[i] < head[j]) == (rank[i] < rank[j])
+
+
+COMMENTED = """<main><header><h1>Site</h1></header><article><header><h1>Head</h1></header><p>body</p><section id=user-comments><p>c1</p></section>
+<ol class=commentlist><li>c2</ol><div class="ad-slot">buy</div><article class="comment"><p>c3</p></article><p class="comments-open">kept</p></article></main>"""
+
+
+def test_html_leaves_out_what_readers_and_advertisers_wrote():
+    assert [t for p, t in html_text.read_blocks(COMMENTED) if p == "main"] == ["Head", "body", "kept"]
+
+
+@pytest.mark.parametrize("page,want", [
+    ("<article><p data-x=don't>hello</p><p>it's fine</p></article>", ["hello", "it's fine"]),
+    ("<article><p title=\"a > b\" id='x>y'>one</p><p a = 'unclosed>two</p></article>", ["one", "two"]),
+    ("<article><p a=b/>x</p><a href=/p/>y</a><br/>z</article>", ["x", "y z"]),
+    ("<article>1 < 2 <3 <!-- > --> <? php > 4 <p>5</article>", ["1 < 2 <3 4", "5"]),
+    ("<article><script>if (a < b) '</p>'</SCRIPT >after<style>x", ["after"])])
+def test_html_odd_tags(page, want):
+    assert [t for p, t in html_text.read_blocks(page) if p == "main"] == want
+
+
+@pytest.mark.parametrize("unit", ['<a "x ', "<div>", "<p><b>", "<li><b>", "<a href='", "<!--", "<!", "</b>", "<script", "<b a=\"x>", "<div></p>", "<td><dt>", "<"])
+def test_html_reader_is_linear(unit):
+    import time
+    times = []
+    for size in (100_000, 1_600_000):
+        page = unit * (size // len(unit))
+        start = time.process_time()
+        html_text.read_blocks(page)
+        times.append(time.process_time() - start)
+    assert times[1] < 40 * times[0] + 0.5  # sixteen times the length; a square would be 256
