@@ -17,8 +17,8 @@ def collapse_titles(entities_raw: DataFrame, mode: str = "title") -> DataFrame:
     """One entity per title -- most documents, then type, then id."""
     if mode == "none":
         return entities_raw
-    w = Window.partitionBy("title").orderBy(F.size("document_ids").desc(), F.col("type"),
-                                            F.col("id"))
+    size = F.col("n_documents") if "n_documents" in entities_raw.columns else F.size("document_ids")
+    w = Window.partitionBy("title").orderBy(size.desc(), F.col("type"), F.col("id"))
     return entities_raw.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
@@ -96,14 +96,18 @@ def finalize(entities_raw: DataFrame, rels_raw: DataFrame, collapse: str = "titl
              distributed_rank: bool = True) -> tuple[DataFrame, DataFrame]:
     """Step 3: (entities, relationships) with degree, endpoint ids and ranks."""
     rank = global_rank if distributed_rank else window_rank
-    ents = collapse_titles(entities_raw, collapse)
-    valid = resolve_endpoints(rels_raw, ents)
-    ents = rank(degree(ents, valid), entity_order())
+    # everything is decided on narrow rows; descriptions and document lists are attached by id at the end
+    titles = entities_raw.select("id", "title", "type", F.size("document_ids").alias("n_documents"))
+    ends = rels_raw.select("id", "source", "target", "weight")
+    kept = cut_lineage(collapse_titles(titles, collapse))
+    valid = cut_lineage(resolve_endpoints(ends, kept))  # read twice: for degrees and for ranks
+    ents = rank(degree(kept.drop("n_documents"), valid), entity_order())
     rels = rank(valid, rel_order())
-    ents = ents.select("id", "title", "type", "description", "document_ids",
-                       "human_readable_id", "degree")
-    rels = rels.select("id", "source", "target", "description", "weight", "document_ids",
-                       "source_entity_id", "target_entity_id", "human_readable_id")
+    ents = ents.join(entities_raw.select("id", "description", "document_ids"), "id").select(
+        "id", "title", "type", "description", "document_ids", "human_readable_id", "degree")
+    rels = rels.join(rels_raw.select("id", "description", "document_ids"), "id").select(
+        "id", "source", "target", "description", "weight", "document_ids",
+        "source_entity_id", "target_entity_id", "human_readable_id")
     return ents, rels
 
 
