@@ -7,7 +7,7 @@ are always materialised (see ``model.call_model``).
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -77,7 +77,9 @@ def cached_extraction(spark: SparkSession, sf_dir: str, source: str = "documents
     key = (id(spark), spark.sparkContext.applicationId, sf_dir, source)
     if key not in _CACHE:
         docs = D.dedup_documents(read_source(spark, source, sf_dir))
-        _CACHE[key] = extract_graph(docs)
+        ex = extract_graph(docs)
+        # as in the pipeline, where they are tables: read again by most queries
+        _CACHE[key] = replace(ex, entities_raw=cut_lineage(ex.entities_raw), relationships_raw=cut_lineage(ex.relationships_raw))
     return _CACHE[key]
 
 

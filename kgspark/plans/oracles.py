@@ -55,9 +55,11 @@ rel AS (
   SELECT source, target, count(*) AS n_descriptions,
          first(description ORDER BY document_id, pos) AS first_description,
          list_sort(list(DISTINCT document_id)) AS document_ids,
-         coalesce(CAST(sum(CAST(weight * pow(2, 53) AS BIGINT)) FILTER (weight >= 1) AS DOUBLE) / count(*) * pow(2, -53), 0)
-         + coalesce(CAST(sum(CAST(weight * pow(2, 61) AS BIGINT)) FILTER (weight < 1) AS DOUBLE) / count(*) * pow(2, -61), 0)
-           AS weight
+         -- integer sums become doubles by way of text: a direct cast rounds those beyond 64 bits twice
+         coalesce(CAST(CAST(sum(CAST(weight * pow(2, 53) AS BIGINT)) FILTER (weight >= 1) AS VARCHAR) AS DOUBLE)
+                  / count(*) * pow(2, -53), 0)
+         + coalesce(CAST(CAST(sum(CAST(weight * pow(2, 61) AS BIGINT)) FILTER (weight < 1) AS VARCHAR) AS DOUBLE)
+                    / count(*) * pow(2, -61), 0) AS weight
   FROM rm GROUP BY source, target),
 eraw AS (
   SELECT {sid('entity', 'title', 'type')} AS id, title, type,
