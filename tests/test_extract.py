@@ -122,3 +122,38 @@ def test_mean_weight_is_exact_in_any_order(spark):
     assert seen[0] == seen[1]
     for k, w in want.items():
         assert math.isclose(seen[0][k], w, rel_tol=1e-15, abs_tol=0.0) or abs(seen[0][k] - w) <= 4 * math.ulp(max(map(abs, groups[k]))) * 1e-3, (k, seen[0][k], w)
+
+
+def test_plain_payloads_give_the_elements_of_the_general_reading(spark, monkeypatch):
+    texts = ['{"entities":[{"name":" a ","type":"t","description":"x"},{"name":"b"},{}],"relationships":[{"source":"a","target":"b","weight":0.5},{"source":"a","target":"c"}]}',
+             '{"entities":[null,{"name":"c"}]}', '{"relationships":[{"source":"a","target":"b","weight":"NaN"}]}', '{"entities":[{"name":3}]}',
+             '{"relationships":[{"source":"a","target":"b","weight":-0.0}]}', '{"entities":[{"name":"a","name":"b"}]}',
+             '{"entities":[{"name":"é","type":null}]}', '{"entities":[{"name":"d","other":1}]}']
+    rows = [(f"d{i}", json.dumps({"candidates": [{"content": {"parts": [{"text": t}]}}]}), None) for i, t in enumerate(texts)]
+    p = M.parse_results(spark.createDataFrame(rows, "document_id string, response string, status string"), ["document_id"], EXTRACTION_PAYLOAD)
+    got = sorted(map(str, X.elements(p).collect()))
+    monkeypatch.setattr(X, "_is_plain", lambda: F.lit(False))
+    assert got == sorted(map(str, X.elements(p).collect())) and len(got) == 13
+
+
+def test_a_merge_shuffles_its_mentions_once(spark):
+    df = spark.createDataFrame([("d1", 0, "A", "T", "x")], "document_id string, pos int, title string, type string, description string")
+    plan = X.merge_entities(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+def counted(spark, df):
+    """``df`` with an accumulator that counts the rows that are computed."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def look(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+    return df.mapInArrow(look, df.schema), seen
+
+
+def test_counting_partitions_computes_nothing(spark):
+    df, seen = counted(spark, spark.range(50))
+    assert M.spread(df.groupBy("id").count()).count() == 50
+    assert seen.value == 50

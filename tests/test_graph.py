@@ -44,3 +44,14 @@ def test_graph_snapshot_tables(spark):
     edges = [tuple(r) for r in spark.read.parquet(f"{out}/edges").collect()]
     assert nodes == {("A", "A", "e1"), ("B", "B", "e2")}
     assert edges == [("A", "B", 0.5, "r1")]
+
+
+def test_ranks_need_no_texts(spark):
+    ents = spark.createDataFrame([("e1", "A", "T", "x", ["d"]), ("e2", "B", "T", "y", ["d"])],
+                                 "id string, title string, type string, description string, document_ids array<string>")
+    rels = spark.createDataFrame([("r1", "A", "B", "z", 1.0, ["d"])],
+                                 "id string, source string, target string, description string, weight double, document_ids array<string>")
+    narrow = G.ranked(ents, rels)
+    assert [c for df in narrow for c in df.columns if c in ("description", "document_ids")] == []
+    for df, whole in zip(narrow, G.finalize(ents, rels)):
+        assert sorted(map(tuple, df.collect())) == sorted(map(tuple, whole.select(df.columns).collect()))
