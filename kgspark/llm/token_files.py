@@ -40,7 +40,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import small_batches, slices, splitter, utf8, written
+from .common import give_back, small_batches, slices, splitter, utf8, written
 
 MAX_BITS = 20
 BLOCK = 256
@@ -214,6 +214,7 @@ def write(docs: DataFrame, path: str, make: Callable, end_id: int, n_ids: int) -
     tokens = written(_tokenised(docs, make, end_id, width), "tokens")
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_encoders()
         total = np.zeros(n_ids, np.int64)
         for batch in batches:
             for ids in batch.column("ids").to_pylist():
@@ -233,6 +234,7 @@ def write(docs: DataFrame, path: str, make: Callable, end_id: int, n_ids: int) -
     shared = spark.sparkContext.broadcast((lengths, canonical(lengths), before))
 
     def code(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_encoders()
         lengths, codes, before = shared.value
         for batch in batches:
             coded = [pack(np.frombuffer(x, f"<u{width}"), lengths, codes) for x in batch.column("ids").to_pylist()]
@@ -260,6 +262,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     shared = spark.sparkContext.broadcast(lengths)  # one byte per vocabulary entry
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_encoders()
         reader = Reader(shared.value)
         for batch in slices(batches, "bits", 1):
             row = {k: v[0] for k, v in batch.to_pydict().items()}
@@ -279,6 +282,15 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
 #: Encoders of this Python worker, by tokenizer file.
 _ENCODERS: dict[int, Callable] = {}
+
+
+def drop_encoders() -> None:
+    """Free the encoders of this Python worker: Spark hands workers on to the stages that count, code and read."""
+    if _ENCODERS:
+        _ENCODERS.clear()
+        give_back()
+
+
 #: Pieces that go through the library in one text, texts per call, and remembered pieces with their bytes.
 JOINED, CALL, MOST, LONGEST = 2000, 8, 800_000, 64
 #: Bytes of text that are encoded together: the more, the fewer words are seen anew.

@@ -102,3 +102,10 @@ def test_encoder_equals_library_on_odd_words(spark, tokenizer):
 def test_encoder_equals_library_on_any_text(spark, tokenizer, texts):
     got = _make(spark)()([t.encode() for t in texts])
     assert [x.tolist() for x in got] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_encoders_of_a_worker_can_be_dropped():
+    # the stages that count, code and read do so first: Spark hands them the workers that encoded
+    tf._ENCODERS[1] = lambda texts: []
+    tf.drop_encoders()
+    assert not tf._ENCODERS
