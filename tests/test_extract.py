@@ -157,3 +157,13 @@ def test_counting_partitions_computes_nothing(spark):
     df, seen = counted(spark, spark.range(50))
     assert M.spread(df.groupBy("id").count()).count() == 50
     assert seen.value == 50
+
+
+def test_single_descriptions_take_no_part_in_the_join(spark):
+    merged = X.merge_entities(spark.createDataFrame(
+        [("d1", 0, "A", "T", "x"), ("d1", 1, "B", "T", "y"), ("d2", 0, "B", "T", "z")],
+        "document_id string, pos int, title string, type string, description string"))
+    summaries = spark.createDataFrame([("entity", "B", "T", "s")], "kind string, a string, b string, summary string")
+    raw = X.entities_raw(merged, summaries)
+    assert {r.title: r.description for r in raw.collect()} == {"A": "x", "B": "s"}
+    assert "Union" in raw._jdf.queryExecution().optimizedPlan().toString()
