@@ -40,7 +40,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import give_back, small_batches, slices, splitter, utf8, written
+from .common import give_back, latin_pattern, small_batches, slices, splitter, utf8, written
 
 MAX_BITS = 20
 BLOCK = 256
@@ -311,13 +311,19 @@ def library_encoder(spark: SparkSession, path: str) -> Callable:
     return make
 
 
+def _runs(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Runs of ``values``, one after the other."""
+    ends = np.cumsum(sizes)
+    return values[np.repeat(starts - (ends - sizes), sizes) + np.arange(int(sizes.sum()))]
+
+
 def _encoder(model: str) -> Callable:
     """Texts (UTF-8) to id arrays, as the library encodes whole texts.
 
     If the file normalises to lower-case NFC and splits by a pattern that drops white space, nothing
-    joins across ASCII white space, so each distinct word of a batch is encoded once. A word of Latin-1
-    characters (which NFC leaves alone) is lower-cased and split here and its pieces are looked up in a
-    table of bounded size; the missing ones go many at a time through the library's model, whose ids
+    joins across ASCII white space, so each distinct word of a batch is encoded once. Words of Latin-1
+    characters (which NFC leaves alone) are lower-cased and split here, all in one text, and each distinct piece
+    is looked up once in a table of bounded size; the missing ones go many at a time through the library's model, whose ids
     come apart where one ends a piece. All other words, and those that hold an added token, go through
     the whole library one by one. A full table keeps what it has (frequent pieces come early); further
     pieces are kept for their batch alone.
@@ -336,7 +342,12 @@ def _encoder(model: str) -> Callable:
             or not steps[0]["invert"] or spec["model"].get("end_of_word_suffix") != "</w>" \
             or any(t["normalized"] for t in spec["added_tokens"]):
         return lambda texts: [np.array(x, "<u4") for x in many([t.decode() for t in texts])]
-    split = splitter(steps[0]["pattern"]["Regex"])
+    pattern = steps[0]["pattern"]["Regex"]
+    split = splitter(pattern)
+    # words in lines of one text are split alike, if the pattern neither looks around nor takes line ends
+    alone = not re.search(r"\(\?[=!<]|\\[bBAGzZK]|(?<!\[)\^|\$", pattern) and not re.search(latin_pattern(pattern), "\n")
+    separate = re.compile(f"(?:{latin_pattern(pattern)})|\n").findall if alone else None
+    beyond = re.compile(rb"[\xc4-\xff\x1c-\x1f]").search  # beyond Latin-1, or white space to ``re`` alone
     added = re.compile("|".join(re.escape(t["content"]) for t in spec["added_tokens"]) or r"(?!)").search
     # the model alone, for pieces that are already normalised, split and spelt in signs for bytes
     bare = Tokenizer(tokenizer.model)
@@ -368,50 +379,69 @@ def _encoder(model: str) -> Callable:
                     yield w, data[at:stop]
                     at = stop
 
-    def look_up(words: list[bytes]) -> list[bytes]:
-        at: list[int] = []      # places of words that are split here, and their pieces joined by spaces
-        spaced: list[bytes] = []
-        others: list[int] = []
-        out = [b""] * len(words)
-        for i, w in enumerate(words):
-            if w.isalpha():
-                at.append(i)
-                spaced.append(w.lower())
-                continue
-            text = w.decode()
-            if (not w.isascii() and max(text) > "\xff") or added(text):
-                others.append(i)
+    def split_all(words: list[bytes]) -> tuple[pa.Array, np.ndarray] | None:
+        """Pieces of Latin-1 words, all split in one text, and the place of each one's word; None if they must go one by one."""
+        text = b"\n".join(words).decode()
+        if separate is None or added(text):
+            return None
+        found = pa.array(separate(text.lower()), pa.large_string())
+        between = pc.equal(found, "\n").to_numpy(zero_copy_only=False)
+        if between.sum() != len(words) - 1:
+            return None
+        return found.filter(pa.array(~between)), np.cumsum(between)[~between]
+
+    def look_up(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words, one word after the other, and how many each has."""
+        letters = pc.ascii_is_alpha(words)
+        rest = words.filter(pc.invert(letters)).cast(pa.large_binary()).to_pylist()
+        letters_at = np.flatnonzero(letters)
+        places = np.flatnonzero(pc.invert(letters))
+        odd = np.fromiter(map(bool, map(beyond, rest)), bool, len(rest))
+        found = split_all([w for w, o in zip(rest, odd.tolist()) if not o])
+        if found is None:
+            odd[:] = True
+            found = pa.array([], pa.large_string()), np.array([], np.int64)
+        alone: list[str] = []       # pieces of words that are split one by one, and their words' places
+        alone_at: list[int] = []
+        others: list[bytes] = []    # words that go through the whole library, and their places
+        others_at: list[int] = []
+        for k in np.flatnonzero(odd).tolist():
+            text = rest[k].decode()
+            if (not text.isascii() and max(text) > "\xff") or added(text):
+                others.append(rest[k])
+                others_at.append(places[k])
             else:
-                at.append(i)
-                spaced.append(" ".join(split(text.lower())).encode())
-        wanted = set(b" ".join(spaced).split(b" ")).difference(of_piece)
-        wanted.discard(b"")
-        plain = [w for w in wanted if w.isascii()]  # apart: their signs are spelt faster
+                ps = split(text.lower())
+                alone += ps
+                alone_at += [places[k]] * len(ps)
+        coded = pa.concat_arrays([pc.ascii_lower(words.filter(letters)), found[0], pa.array(alone, pa.large_string())]).dictionary_encode()
+        wanted = coded.dictionary.cast(pa.large_binary()).to_pylist()
+        known = list(map(of_piece.get, wanted))
+        missing = [w for w, ids in zip(wanted, known) if ids is None]
+        plain = [w for w in missing if w.isascii()]  # apart: their signs are spelt faster
         fresh = dict(pieces(plain))
-        fresh.update(pieces([w for w in wanted if not w.isascii()]))
-        of_piece.update(fresh)
-        get = of_piece.__getitem__
-        for i, ps in zip(at, spaced):
-            out[i] = b"".join(map(get, ps.split(b" "))) if b" " in ps else get(ps)
-        for i, (_, ids) in zip(others, whole([words[i] for i in others])):
-            out[i] = ids
-        for w in fresh if len(of_piece) > MOST else [w for w in fresh if len(w) > LONGEST]:
-            del of_piece[w]
-        return out
+        fresh.update(pieces([w for w in missing if not w.isascii()]))
+        known = [fresh[w] if ids is None else ids for w, ids in zip(wanted, known)]
+        if len(of_piece) + len(fresh) <= MOST:
+            of_piece.update((w, ids) for w, ids in fresh.items() if len(w) <= LONGEST)
+        word = np.concatenate([letters_at, places[~odd][found[1]], alone_at, others_at]).astype(np.int64)
+        piece = np.concatenate([coded.indices, len(known) + np.arange(len(others))]).astype(np.int64)
+        known += [ids for _, ids in whole(others)]
+        order = np.argsort(word, kind="stable")
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) >> 2
+        n = sizes[piece]
+        ids = _runs(np.frombuffer(b"".join(known), "<u4"), (np.cumsum(sizes) - sizes)[piece][order], n[order])
+        return ids, np.bincount(word, n, minlength=len(words)).astype(np.int64)
 
     def encode(texts: list[bytes]) -> list[np.ndarray]:
         # one word column for all texts; each distinct word is looked up once
         lists = pc.ascii_split_whitespace(pa.array(texts, pa.large_binary()).view(pa.large_string()))
         coded = lists.flatten().dictionary_encode()
-        found = look_up(coded.dictionary.cast(pa.large_binary()).to_pylist())
-        ids = np.frombuffer(b"".join(found), "<u4")
-        sizes = np.fromiter(map(len, found), np.int64, len(found)) >> 2
-        starts = np.cumsum(sizes) - sizes
+        ids, sizes = look_up(coded.dictionary)
         at = coded.indices.to_numpy(zero_copy_only=False)
         n = sizes[at]
         ends_at = np.cumsum(n)
-        # position of every id: the start of its word in ``ids``, and its place in the word
-        out = ids[np.repeat(starts[at] - (ends_at - n), n) + np.arange(int(n.sum()))]
+        out = _runs(ids, (np.cumsum(sizes) - sizes)[at], n)
         edges = np.concatenate([[0], ends_at])[lists.offsets.to_numpy()]
         return [out[i:j] for i, j in itertools.pairwise(edges.tolist())]
 

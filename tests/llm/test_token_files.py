@@ -109,3 +109,21 @@ def test_encoders_of_a_worker_can_be_dropped():
     tf._ENCODERS[1] = lambda texts: []
     tf.drop_encoders()
     assert not tf._ENCODERS
+
+
+def test_words_are_split_in_one_text(monkeypatch):
+    from tokenizers import Tokenizer
+    path = public_tokenizers.path("word_bpe_49k.json")
+    with open(path, encoding="utf-8") as f:
+        model = f.read()
+
+    def one_by_one(pattern):
+        def split(text):
+            raise AssertionError(f"{text!r} was split alone")
+        return split
+    monkeypatch.setattr(tf, "splitter", one_by_one)
+    texts = ["It's 2024, isn't it? (Größe: 12µm²) ÀÉ x\u0085y -- ...", "", "don't!! don't!! 'S 'll", "  \u0085", "plain words only"]
+    encode, whole = tf._encoder(model), Tokenizer.from_file(path)
+    for _ in range(2):  # the second time from the table
+        got = encode([t.encode() for t in texts])
+        assert [x.tolist() for x in got] == [whole.encode(t, add_special_tokens=False).ids for t in texts]
