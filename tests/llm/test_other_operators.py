@@ -355,6 +355,28 @@ def test_html_copies_and_rare_repeats_are_no_boilerplate(spark, monkeypatch):
         assert {r["page_id"]: r["text"] for r in html_text.extract(pages).collect()} == want
 
 
+def test_html_array_judges_blocks_of_articles(spark, monkeypatch):
+    notice = "please read our new terms of use before you go on"
+    quote = "a passage of nine words that several articles quote"
+    body = lambda i: " ".join(f"w{i}x{j}" for j in range(40))
+    rows, want = [], {}
+    for i in range(8):  # a notice in four articles that four other pages have in their footer; the lead of page 0 as a teaser on all
+        inside = f"<p>{notice}</p>" * (i < 4) + f"<p>{quote}</p>" * (i > 2) + "<p>Read on</p>"
+        rows.append((i, "http://h/", f"<article><h1>{body(i)}</h1>{inside}<p>end{body(i)}</p></article>"
+                                     f"<aside>{body(0)}</aside><footer>{notice if i > 3 else 'f'}</footer>"))
+        want[i] = "\n\n".join([body(i), *[quote] * (i > 2), "Read on", "end" + body(i)])
+    for i in range(100, 104):  # near copies, whose first paragraph is a teaser on other pages
+        rows.append((i, "http://near/", f"<article><p>{body(1)}</p><p>{body(2)}</p><p>only {i}</p></article>"))
+        rows.append((i + 50, "http://near/", f"<nav>{body(1)}</nav><article>{body(i)}</article>"))
+        want |= {i: f"{body(1)}\n\n{body(2)}\n\nonly {i}", i + 50: body(i)}
+    rows.append((9, *rows[0][1:]))  # a copy
+    want[9] = want[0]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for shard in (500_000, 150):
+        monkeypatch.setattr(html_text, "SHARD", shard)
+        assert {r["page_id"]: r["text"] for r in html_text.extract(pages).collect()} == want
+
+
 def test_run_ranks_compare_first_words():
     tokens = np.random.default_rng(2).integers(1, 4, 300).astype(np.uint64)
     rank = html_text.run_ranks(tokens)
