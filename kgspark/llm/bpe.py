@@ -9,7 +9,8 @@ Reading a byte moves the nodes, finds the one last token that is compatible with
 it, and drops positions that no token can continue. Tokens that the readings of all live positions
 share are emitted; a live position lies no further back than the longest token, so the lookahead is
 bounded. States and transitions are made when first met and kept in a table of bounded size
-(dropped and rebuilt when full; results are the same).
+(dropped and rebuilt when full; results are the same), as plain numbers in arrays: two workers of a
+task run at once beside the JVM, and dictionaries of number objects took three times the memory.
 
 As in the reference semantics of rank files, a piece that is itself a token is that token, and
 pieces are the matches of a split pattern, encoded separately.
@@ -26,6 +27,8 @@ input are ignored; an empty table gives an empty result.
 from __future__ import annotations
 
 import base64
+import struct
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -33,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import give_back, small_batches, slices, splitter
+from .common import give_back, kept, small_batches, slices, splitter
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -58,16 +61,25 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[bytes]:
     return parts
 
 
+#: Slots of the tables of moves and fits, and the odd multiplier of their hash. A key's search starts at its hash and
+#: ends at an empty slot (0), so a table must never be full.
+SLOTS, ODD = 1 << 20, 0x9E3779B97F4A7C15
+
+
+def _zeros() -> array:
+    return array("q", bytes(8 * SLOTS))
+
+
 class Transducer:
     """Bytes in, token ids out; see the module's text.
 
-    A state is a flat tuple of (node, last) for each live position, oldest first: the node of the
+    A state is a flat row of (node, last) for each live position, oldest first: the node of the
     vocabulary's trie that the bytes since that position lead to, and the last token of the prefix
     that ends there (-1 before the first). Reading a byte yields the last token of the longer
     prefix; chains of last tokens lead back, and what all live positions share can leave.
     """
 
-    MOST_MOVES = 400_000
+    MOST_MOVES = MOST_FITS = 400_000
     #: Pending bytes of a piece at which agreed tokens are emitted; the live part is no longer
     #: than the longest token.
     LOOKAHEAD = 1 << 12
@@ -90,16 +102,18 @@ class Transducer:
                     self.depth.append(self.depth[key >> 8] + 1)
                     self.inner.append(False)
             self.token[node] = i
-        self.fits: dict[int, bool] = {}
+        self.fits, self.n_fits = _zeros(), 0
         self._clear()
 
     def _clear(self) -> None:
-        self.states: list[tuple[int, ...]] = []
-        self.numbers: dict[tuple[int, ...], int] = {}
-        self.moves: dict[int, tuple[int, int]] = {}
-        self.start = self._number((0, -1))
-
-    def _number(self, state: tuple[int, ...]) -> int:
+        self.states: list[bytes] = []
+        self.numbers: dict[bytes, int] = {}
+        # from (state + 1, byte) to (state, last token)
+        self.froms, self.tos, self.n_moves = _zeros(), _zeros(), 0
+        self.start = self._number([0, -1])
+
+    def _number(self, row: list[int]) -> int:
+        state = array("i", row).tobytes()
         n = self.numbers.get(state)
         if n is None:
             n = self.numbers[state] = len(self.states)
@@ -109,17 +123,23 @@ class Transducer:
     def _fit(self, a: int, b: int) -> bool:
         """Whether b can follow a; a = -1 asks whether merges make b at all (some entries of a
         vocabulary only match whole pieces)."""
-        key = a << 32 | b
-        got = self.fits.get(key)
-        if got is None:
-            if len(self.fits) >= self.MOST_MOVES:
-                self.fits.clear()
-            x, y = self.bytes.get(a, b""), self.bytes[b]
-            got = self.fits[key] = merge(x + y, self.ranks) == ([x, y] if x else [y])
-        return got
+        fits, key = self.fits, a + 2 << 32 | b
+        i = key * ODD >> 36 & SLOTS - 1
+        while got := fits[i]:
+            if got == key or got == -key:
+                return got > 0
+            i = i + 1 & SLOTS - 1
+        x, y = self.bytes.get(a, b""), self.bytes[b]
+        fit = merge(x + y, self.ranks) == ([x, y] if x else [y])
+        if self.n_fits >= self.MOST_FITS:
+            self.fits, self.n_fits = _zeros(), 0
+            i = key * ODD >> 36 & SLOTS - 1
+        self.fits[i] = key if fit else -key
+        self.n_fits += 1
+        return fit
 
     def _move(self, number: int, byte: int) -> tuple[int, int]:
-        state, trie, found, live = self.states[number], self.trie, -1, []
+        state, trie, found, live = array("i", self.states[number]), self.trie, -1, []
         for j in range(0, len(state), 2):  # the longest candidate first; exactly one fits
             node = trie.get(state[j] << 8 | byte)
             if node is None:
@@ -131,7 +151,19 @@ class Transducer:
                 live += (node, last)
         if found < 0:
             raise ValueError(f"no token ends with byte {byte}; the vocabulary lacks single bytes")
-        return self._number((*live, 0, found)), found
+        return self._number([*live, 0, found]), found
+
+    def _made(self, state: int, byte: int, slot: int) -> tuple[int, int]:
+        """Makes a move that the table lacks; ``slot`` is the empty one that its search ended at."""
+        if self.n_moves >= self.MOST_MOVES:
+            here = self.states[state]
+            self._clear()
+            state = self._number(list(array("i", here)))
+            slot = (state + 1 << 8 | byte) * ODD >> 36 & SLOTS - 1
+        to, last = self._move(state, byte)
+        self.froms[slot], self.tos[slot] = state + 1 << 8 | byte, to << 32 | last
+        self.n_moves += 1
+        return to, last
 
     def _back(self, lasts: list[int], end: int) -> list[int]:
         out = []
@@ -143,7 +175,7 @@ class Transducer:
 
     def _agreed(self, state: int, n: int, lasts: list[int]) -> int:
         """The furthest position through which the readings of all live positions pass."""
-        live = {n - self.depth[node] for node in self.states[state][::2]}
+        live = {n - self.depth[node] for node in array("i", self.states[state])[::2]}
         while len(live) > 1:
             p = max(live)
             live.remove(p)
@@ -152,15 +184,18 @@ class Transducer:
 
     def run(self, piece: bytes) -> list[int]:
         state, out, lasts = self.start, [], []
+        froms, tos = self.froms, self.tos
         for byte in piece:
-            got = self.moves.get(state << 8 | byte)
-            if got is None:
-                if len(self.moves) >= self.MOST_MOVES:
-                    here = self.states[state]
-                    self._clear()
-                    state = self._number(here)
-                got = self.moves[state << 8 | byte] = self._move(state, byte)
-            state, last = got
+            key = state + 1 << 8 | byte
+            i = key * ODD >> 36 & SLOTS - 1
+            while (got := froms[i]) != key and got:
+                i = i + 1 & SLOTS - 1
+            if got:
+                to = tos[i]
+                state, last = to >> 32, to & 0xFFFFFFFF
+            else:
+                state, last = self._made(state, byte, i)
+                froms, tos = self.froms, self.tos
             lasts.append(last)
             if len(lasts) >= self.LOOKAHEAD:
                 done = self._agreed(state, len(lasts), lasts)
@@ -177,14 +212,14 @@ class Transducer:
 class PieceIds(dict):
     """Piece -> its ids as little-endian unsigned 32-bit integers; bounded, refilled as needed."""
 
-    MOST = 400_000
+    MOST = 170_000
 
     def __init__(self, machine: Transducer):
         super().__init__()
         self.machine = machine
 
     def __missing__(self, piece: str) -> bytes:
-        ids = np.array(self.machine.encode(piece.encode()), "<u4").tobytes()
+        ids = struct.pack(f"<{len(got := self.machine.encode(piece.encode()))}I", *got)
         if len(self) >= self.MOST:
             self.clear()
         if len(piece) <= 64:
@@ -262,8 +297,6 @@ class Decoder:
         return tail
 
 
-#: Machines of this Python worker, by vocabulary; made once per worker.
-_MACHINES: dict[int, PieceIds] = {}
 #: Ids decoded at a time.
 STREAM = 1 << 16
 
@@ -279,9 +312,8 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str =
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if key not in _MACHINES:
-            _MACHINES[key] = PieceIds(Transducer(shared.value))
-        lookup, split = _MACHINES[key].__getitem__, splitter(pattern)
+        lookup = kept(("bpe", key), lambda: PieceIds(Transducer(shared.value))).__getitem__
+        split = splitter(pattern)
         for batch in slices(batches, "text"):
             ids = [b"".join(map(lookup, split(t or ""))) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
@@ -302,6 +334,7 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     shared = spark.sparkContext.broadcast((tokens, compose(tokens)))
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept()
         for batch in slices(batches, "ids"):
             out, valid = [], []
             for data in batch.column("ids").to_pylist():

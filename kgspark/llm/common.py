@@ -78,6 +78,21 @@ def give_back() -> None:
         pass
 
 
+#: What this Python worker keeps from task to task: one thing, by its name.
+_KEPT: dict[object, object] = {}
+
+
+def kept(name: object = None, make: Callable[[], object] | None = None) -> object:
+    """The thing of this name, made once per worker as long as the worker does the same work. Spark gives a worker any
+    stage's tasks, so what it kept for others goes first; without ``make`` nothing is kept."""
+    if _KEPT and name not in _KEPT:
+        _KEPT.clear()
+        give_back()
+    if make and name not in _KEPT:
+        _KEPT[name] = make()
+    return _KEPT.get(name)
+
+
 def utf8(batch: pa.RecordBatch, column: str) -> list[bytes]:
     """The texts of a batch as UTF-8 bytes, null as empty."""
     return [x or b"" for x in batch.column(column).cast(pa.binary()).to_pylist()]

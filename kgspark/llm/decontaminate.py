@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import give_back, small_batches, slices, utf8, written
+from .common import give_back, kept, small_batches, slices, utf8, written
 
 WINDOW = 13
 #: A document is contaminated if ``SHARE`` times its hit words reach its words.
@@ -209,6 +209,7 @@ def _pass(docs: DataFrame, machine: Automaton, clean: bool) -> DataFrame:
     keys = [f.name for f in docs.schema if f.name != "text"]
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept()
         for batch in slices(batches, "text"):
             texts = [words(t) for t in utf8(batch, "text")]
             found = _hits(texts, shared.value)

@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import give_back, small_batches, slices, utf8, written
+from .common import give_back, kept, small_batches, slices, utf8, written
 from .graph import components
 
 N_GRAM = 5
@@ -70,7 +70,6 @@ class _WordHashes(dict):
         return h
 
 
-_HASHES = _WordHashes()
 _ODD = np.random.default_rng(5).integers(1, 1 << 62, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -83,7 +82,8 @@ def _mix(x: np.ndarray) -> np.ndarray:
 def shingles(text: bytes, n: int = N_GRAM) -> np.ndarray:
     """Sorted distinct hashes of a text's word n-grams."""
     words = text.translate(LOWER).split()
-    h = np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
+    hashes = kept("word hashes", _WordHashes)
+    h = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
     m = min(n, len(h))
     if not m:
         return h
@@ -234,6 +234,7 @@ def _verified(groups: DataFrame) -> DataFrame:
     """(id, links, root) per class and group; rows of a group stand together in a partition."""
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept()
         held: list[dict] = []
         place = None
 

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import give_back, small_batches, slices
+from .common import give_back, kept, small_batches, slices
 
 MAX_GRAM = 4
 BUCKETS = 1 << 17
@@ -140,6 +140,7 @@ def train(docs: DataFrame) -> Model:
     rows = docs.where("lang is not null").select("text", "lang")
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept()
         tables: dict[str, np.ndarray] = {}
         held: dict[str, Counter] = {}
 
@@ -299,6 +300,7 @@ def label(docs: DataFrame, model: Model, keys: list[str] = ["doc_id"],  # noqa:
     shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS x languages
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept()
         model, known = shared.value, Scores(shared.value)
         group, size = [], 0
         for batch in slices(batches, "text"):

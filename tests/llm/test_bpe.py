@@ -1,5 +1,6 @@
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
@@ -7,7 +8,7 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from kgspark.llm import bpe
+from kgspark.llm import bpe, common, jaccard
 
 from llm_fixtures import TEXTS, docs
 
@@ -85,3 +86,29 @@ def test_query_on_documents(spark, brute):
         assert got[r["doc_id"]]["n_tokens"] == len(ids)
         assert got[r["doc_id"]]["ids_sha256"] == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
         assert got[r["doc_id"]]["decoded_sha256"] == hashlib.sha256((r["text"] or "").encode()).hexdigest()
+
+
+def test_tables_grow_little_with_the_moves(ranks):
+    machine, rng = bpe.PieceIds(bpe.Transducer(ranks)), random.Random(7)
+    letters = b"eeeaaattiinnoosshrdlucmfwygpb"
+    tracemalloc.start()
+    for _ in range(30_000):
+        machine[bytes(rng.choice(letters) for _ in range(rng.randint(4, 12))).decode()]
+    made, small = machine.machine.n_moves, tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert made > 100_000 and small < 200 * made  # measured: 113 bytes a move beside the fixed arrays, 331 with dictionaries
+
+
+def test_a_worker_keeps_one_works_tables():
+    hashes = common.kept("word hashes", dict)
+    assert common.kept("word hashes", dict) is hashes
+    assert common.kept("other", list) == [] and common.kept("word hashes", dict) is not hashes
+    common.kept()
+    assert not common._KEPT
+
+
+def test_later_work_drops_the_encoder(ranks):
+    for later in (lambda: jaccard.shingles(b"a b c"), common.kept):
+        common.kept(("bpe", 1), lambda: bpe.PieceIds(bpe.Transducer(ranks)))
+        later()
+        assert ("bpe", 1) not in common._KEPT
