@@ -167,3 +167,8 @@ def test_single_descriptions_take_no_part_in_the_join(spark):
     raw = X.entities_raw(merged, summaries)
     assert {r.title: r.description for r in raw.collect()} == {"A": "x", "B": "s"}
     assert "Union" in raw._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_texts_are_parsed_once(spark):
+    plan = X.elements(parsed(spark, [("d", {"entities": []})]))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("get_json_object") == 1 and plan.count("parseJson") <= 2 and "Filter" not in plan
