@@ -82,3 +82,21 @@ def test_constraints_are_checked_in_one_scan(spark):
     assert plan.count("LogicalRDD") + plan.count("LocalRelation") == 1
     assert {(r.key[:2], r.rule, r.n_rows) for r in found.collect()} == {
         ("dd", "max_len_64", 1), ("dd", "vector_len_4", 1), ("x", "unique_key", 2)}
+
+
+def test_a_first_checked_batch_is_written_once_and_a_bad_one_not_at_all(spark, tmp_path, monkeypatch):
+    import pytest
+    from kgspark.sources.tables import TableStore
+    rows = lambda *ids: SK.sink_documents(spark.createDataFrame([(i, "t") for i in ids], "id string, title string"), 4)
+    store, written = TableStore(spark, str(tmp_path)), []
+    stage = TableStore.stage
+    monkeypatch.setattr(TableStore, "stage", lambda self, df, name, *a: written.append(name) or stage(self, df, name, *a))
+    with pytest.raises(ValueError, match="unique_key"):
+        SK.checked_upsert(store, "documents", rows("a", "a"), 4)
+    assert not store.exists("documents")
+    assert sorted(r.id for r in SK.checked_upsert(store, "documents", rows("a", "b"), 4).collect()) == ["a", "b"]
+    assert written == ["documents"] * 2
+    with pytest.raises(ValueError, match="unique_key"):
+        SK.checked_upsert(store, "documents", rows("c", "c"), 4)
+    done = SK.checked_upsert(store, "documents", rows("b", "c"), 4)
+    assert sorted(r.id for r in done.collect()) == ["a", "b", "c"]
